@@ -173,8 +173,9 @@ class Matcher:
         """Whether these words name a part of a body."""
         return 1 < len(tail) <= 5 and any(tail[-1] in near or deletes(tail[-1], 2) & near for _, near in self.parts if len(tail[-1]) > 3)
 
-    def variants(self, text: str) -> Iterator[tuple[tuple[str, ...], float]]:
-        """Readings of a plain text with a small cost each: as it is, turned at a comma, cut before a part."""
+    def variants(self, text: str, most_cut: int = 5) -> Iterator[tuple[tuple[str, ...], float]]:
+        """Readings of a plain text with a small cost each: as it is, turned at a comma, cut before a part
+        (of at most ``most_cut`` words)."""
         found = words(text)
         yield found, 0.0
         mended = tuple(w if len(w) > 5 or self.near(w) else self.mend(w) for w in found)
@@ -187,17 +188,17 @@ class Matcher:
             head = text[: cut.start()]
             if "," in head:
                 yield words(head[head.rfind(",") + 1 :] + " " + head[: head.rfind(",")]), 0.15
-        for k in range(2, min(6, len(found))):
+        for k in range(2, min(most_cut + 1, 6, len(found))):
             if self.is_part(found[-k:]):
                 yield found[:-k], 0.02 * k
                 head = found[:-k]
                 for turn in range(1, min(3, len(head))):
                     yield head[turn:] + head[:turn], 0.02 * k + 0.2
 
-    def best(self, text: str) -> tuple[float, int, float, str | None] | None:
+    def best(self, text: str, most_cut: int = 5) -> tuple[float, int, float, str | None] | None:
         """The cheapest entry for a plain text: (cost, -length, -weight, target)."""
         choice = None
-        for found, extra in self.variants(text):
+        for found, extra in self.variants(text, most_cut):
             votes: dict[int, int] = defaultdict(int)
             content = [w for w in found if w not in LINKS]
             if not content:
@@ -258,7 +259,7 @@ class Matcher:
         if not empty:
             if one and (found := self.best(one)):
                 tries.append(found)
-            if one and two and not self.is_part(words(two)) and (found := self.best(f"{one} {two}")):
+            if one and two and (found := self.best(f"{one} {two}", len(words(two)))):
                 tries.append((found[0] + 0.01, *found[1:]))
             if not tries and (name := self.acronym(first)):
                 return name, 0.0
