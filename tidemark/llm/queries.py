@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.names import UNMATCHED, map_names
+from tidemark.llm.repeats import cut_lines, repeated_lines, with_repeated
 from tidemark.sources.tables import table
 
 
@@ -36,5 +37,41 @@ def p1_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return missed.groupBy(F.upper(F.trim(open_["first"])).alias("agency")).agg(F.countDistinct("notice_id").alias("n_notices"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_misses)}
-ORACLE: dict[str, str] = {}
+def _notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "aps_gazette_vacancies", "notice_id", "agency_canonical", "description")
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each repeated line of each notice."""
+    lines, repeated = repeated_lines(_notices(spark, sf_dir), "notice_id", "agency_canonical", "description")
+    marked = with_repeated(lines, repeated, "source").where("repeated is not null")
+    kept = marked.select("doc", F.filter("keys", lambda k: F.array_contains("repeated", F.xxhash64(k))).alias("keys"))
+    return kept.select(F.col("doc").alias("notice_id"), F.explode("keys").alias("line_key")).distinct()
+
+
+def p6_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each notice with its description free of its agency's repeated lines."""
+    notices = _notices(spark, sf_dir)
+    _, repeated = repeated_lines(notices, "notice_id", "agency_canonical", "description")
+    marked = with_repeated(notices, repeated, "agency_canonical")
+    return marked.select("notice_id", cut_lines(F.col("description"), F.col("repeated")).alias("description_clean")).distinct()
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_misses, p6_found, p6_cut)}
+
+_LINES = """
+WITH lines AS (
+  SELECT DISTINCT notice_id, agency_canonical,
+         trim(regexp_replace(lower(unnest(string_split(description, chr(10)))), '[^a-z]+', ' ', 'g')) AS line_key
+  FROM aps_gazette_vacancies WHERE agency_canonical IS NOT NULL),
+totals AS (SELECT agency_canonical, count(DISTINCT notice_id) AS n FROM aps_gazette_vacancies GROUP BY 1),
+repeated AS (
+  SELECT l.agency_canonical, line_key FROM lines l JOIN totals t ON l.agency_canonical = t.agency_canonical
+  WHERE length(line_key) - length(replace(line_key, ' ', '')) >= 4
+  GROUP BY l.agency_canonical, line_key, t.n HAVING count(DISTINCT notice_id) >= 5 AND count(DISTINCT notice_id) * 10 >= t.n)
+"""
+ORACLE: dict[str, str] = {
+    "p6_found": _LINES + """SELECT DISTINCT notice_id, l.line_key FROM lines l
+JOIN repeated r ON l.agency_canonical = r.agency_canonical AND l.line_key = r.line_key""",
+}
+
