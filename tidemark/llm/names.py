@@ -310,7 +310,9 @@ def map_names(pairs: DataFrame, names: DataFrame, known: DataFrame, counts: Data
     pairs give one row. Only the reference side is gathered, in blocks of at most ``block`` names.
     """
     spark = pairs.sparkSession
-    distinct = pairs.select("first", "second").distinct()
+    # pairs are few bytes but much work each, so they are spread by count, not by size
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    distinct = pairs.select("first", "second").distinct().repartition(tasks, "first", "second")
     size = names.count() + known.count()
     blocks = -(-size // block) or 1
     schema = "first string, second string, target string, cost double"
