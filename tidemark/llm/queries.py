@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.names import UNMATCHED, map_names
 from tidemark.llm.repeats import cut_lines, repeated_lines, with_repeated
+from tidemark.llm.subjects import assign_subjects, fitted
 from tidemark.sources.tables import table
 
 
@@ -57,7 +58,32 @@ def p6_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select("notice_id", cut_lines(F.col("description"), F.col("repeated")).alias("description_clean")).distinct()
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_misses, p6_found, p6_cut)}
+def _families(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Notices with the stretch of their text that holds duties, and the families of those without one."""
+    notices = table(spark, sf_dir, "aps_gazette_vacancies", "notice_id", "description", "job_family", "job_family_secondary", "job_family_confidence")
+    duties = F.split(F.col("description"), r"(?im)^\\s*Eligibility\\s*$", 2)[0]
+    notices = notices.withColumn("duties", duties).drop("description")
+    labelled = notices.where("job_family is not null and coalesce(job_family_confidence, 'low') <> 'low'")
+    model = fitted(labelled, "duties", "job_family", "job_family_secondary", "notice_id")
+    return notices, assign_subjects(notices.where("job_family is null and duties is not null"), "notice_id", "duties", model)
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each family to which at least two described duties of a notice without a family belong."""
+    _, found = _families(spark, sf_dir)
+    return found.select(F.col("doc").alias("notice_id"), F.col("subject").alias("job_family")).distinct()
+
+
+def p5_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many notices describe work of each family, given or found."""
+    notices, found = _families(spark, sf_dir)
+    given = notices.where("job_family is not null").select("notice_id", "job_family", F.lit("given").alias("origin"))
+    added = found.select(F.col("doc").alias("notice_id"), F.col("subject").alias("job_family"), F.lit("found").alias("origin"))
+    both = given.unionByName(added).distinct()
+    return both.groupBy("job_family", "origin").agg(F.count(F.lit(1)).alias("n_notices"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_misses, p5_found, p5_shares, p6_found, p6_cut)}
 
 _LINES = """
 WITH lines AS (
