@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.names import UNMATCHED, map_names
+from tidemark.llm.personal import find_personal, redact
 from tidemark.llm.repeats import cut_lines, repeated_lines, with_repeated
 from tidemark.llm.subjects import assign_subjects, fitted
 from tidemark.sources.tables import table
@@ -58,6 +59,19 @@ def p6_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select("notice_id", cut_lines(F.col("description"), F.col("repeated")).alias("description_clean")).distinct()
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each distinct piece of personal information in the texts of a notice."""
+    notices = table(spark, sf_dir, "aps_gazette_vacancies", "notice_id", "description", "duties_text")
+    found = find_personal(notices, "notice_id", ["description", "duties_text"])
+    return found.withColumnRenamed("doc", "notice_id").distinct()
+
+
+def p4_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each notice with typed placeholders in its description."""
+    notices = table(spark, sf_dir, "aps_gazette_vacancies", "notice_id", "description")
+    return notices.distinct().select("notice_id", redact(F.col("description")).alias("description_clean"))
+
+
 def _families(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Notices with the stretch of their text that holds duties, and the families of those without one."""
     notices = table(spark, sf_dir, "aps_gazette_vacancies", "notice_id", "description", "job_family", "job_family_secondary", "job_family_confidence")
@@ -83,7 +97,7 @@ def p5_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.groupBy("job_family", "origin").agg(F.count(F.lit(1)).alias("n_notices"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_misses, p5_found, p5_shares, p6_found, p6_cut)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_misses, p4_found, p4_redacted, p5_found, p5_shares, p6_found, p6_cut)}
 
 _LINES = """
 WITH lines AS (
