@@ -75,6 +75,11 @@ _NEVER = set(
     "tag subscribe follow late applications our quote post this the your we a an position number abn tfn medicare ags precinct river bridge centre park school hospital university prize award foundation medal "
     "library theory method principle law reef mountain lake regulations award lecture building house wing hall room campus nsw vic qld sa wa tas nt".split()
 )
+#: Those of them that are no surname either; spans holding one are not proposed.
+_HARD = _NEVER - set("act street road lane way place court creek bay flat vale port upper lower north south east west new old mill hill box lot river bridge park hall school church lake reef wing room page law wa sa nt former current a an".split())
+_DIGIT, _UPPER = re.compile(r"\d"), re.compile(r"[A-ZÀ-ÖØ-Þ]")
+#: What a line must hold for any generator to propose something.
+_TRIGGER = re.compile(r"@|\d(?:\D{0,3}\d){4}|\d.{0,12}[A-ZÀ-Þ]|\bbox\b|\bbag\b|(?i:\bdot\b|[(\[]\s?at\s?[)\]]|\bat\s\S+\.\w)|[A-ZÀ-Þ][\w’'.-]*,?\s+(?:[a-z]{1,3}\s+){0,2}[A-ZÀ-Þ]", re.UNICODE)
 _CUES = {
     "PHONE": re.compile(r"(phone|tel|call|ring|contact|fax|mobile|mob|enquir|number|line|reached|hotline|on$|or$)", re.I),
     "ID_NUMBER": re.compile(r"(tfn|tax file|medicare|passport|travel document|licen[cs]e|ags|payroll|employee|staff|service n|personnel|driver|crn|customer ref|member)", re.I),
@@ -104,7 +109,7 @@ def _name_spans(line: str) -> Iterator[Span]:
         word = tokens[i][2]
         if not (name_like(i) or re.fullmatch(_PARTICLE, word)):
             continue
-        if word.rstrip(".").lower() in _TITLES:
+        if word.rstrip(".").lower() in _TITLES or word.rstrip(".").lower() in _HARD:
             continue
         real = commas = particles = 0
         for j in range(i, min(n, i + 6)):
@@ -123,7 +128,8 @@ def _name_spans(line: str) -> Iterator[Span]:
                 if particles > 2:
                     break
                 continue
-            if not name_like(j) or word.rstrip(".").lower() in _TITLES:
+            low = word.rstrip(".").lower()
+            if not name_like(j) or low in _TITLES or low in _HARD:
                 break
             real += 1
             if real > 4:
@@ -143,7 +149,7 @@ def propose(line: str) -> list[Span]:
     found: list[Span] = []
     if "@" in line or "dot" in line.lower() or re.search(r"\bat\b", line, re.I) and "." in line:
         found += [Span("EMAIL", m.start(), m.end(), 0) for m in _EMAIL.finditer(line)]
-    digits = sum(c.isdigit() for c in line)
+    digits = len(_DIGIT.findall(line))
     if digits >= 5:
         for form, pattern in enumerate(_PHONES):
             found += [Span("PHONE", m.start(), m.end(), form) for m in pattern.finditer(line)]
@@ -154,7 +160,7 @@ def propose(line: str) -> list[Span]:
             for m in pattern.finditer(line):
                 whole = _stretch(line, m.start(), m.end())
                 found.append(Span("ADDRESS", *whole, form))
-    if sum(c.isupper() for c in line) >= 2:
+    if len(_UPPER.findall(line)) >= 2:
         found += _name_spans(line)
     return found
 
@@ -188,9 +194,9 @@ def features(line: str, span: Span) -> list[float]:
     after = re.findall(r"[A-Za-z]+", right)
     last = before[-1].lower() if before else ""
     first = after[0].lower() if after else ""
-    digits = sum(c.isdigit() for c in text)
+    digits = len(_DIGIT.findall(text))
     row = [
-        span.form, len(text), digits, sum(c.isupper() for c in text), text.count(" "), text.count("-"), text.count("."), text.count(","),
+        span.form, len(text), digits, len(_UPPER.findall(text)), text.count(" "), text.count("-"), text.count("."), text.count(","),
         float(last in _TITLES), float(last in _BEFORE), float(first in _AFTER), float(span.start == 0), float(not right.strip(" .!")),
         float(left.rstrip().endswith(("-", "–", ":"))), float(left.rstrip().endswith("(")), float(right.lstrip().startswith((",", "(", ")"))),
     ]
@@ -444,10 +450,6 @@ def find(lines: list[str], tools: dict[str, tuple[Boosted, float]]) -> list[list
     return out
 
 
-def _worth(line: str) -> bool:
-    return "@" in line or any(c.isdigit() for c in line) or sum(c.isupper() for c in line) > 1 or " dot " in line or "(dot)" in line
-
-
 class Finder:
     """Finds in texts, each distinct line of a batch once."""
 
@@ -459,7 +461,7 @@ class Finder:
         for text in texts:
             if text:
                 for line in text.split("\n"):
-                    if _worth(line):
+                    if _TRIGGER.search(line):
                         lines[line] = None
         found = dict(zip(lines, find(list(lines), self.tools)))
         out = []
@@ -485,11 +487,11 @@ def find_personal(docs: DataFrame, doc: str, fields: list[str], tools: dict | No
         finder = Finder(shared.value)
         for batch in batches:
             rows = []
-            for name in fields:
-                texts = [t if isinstance(t, str) else None for t in batch[name]]
-                for key, text, spans in zip(batch["doc"], texts, finder(texts)):
-                    for piece in dict.fromkeys((k, text[a:b]) for a, b, k in spans):
-                        rows.append((key, name, *piece))
+            texts = [t if isinstance(t, str) else None for name in fields for t in batch[name]]
+            keys = [(key, name) for name in fields for key in batch["doc"]]
+            for key, text, spans in zip(keys, texts, finder(texts)):
+                for piece in dict.fromkeys((k, text[a:b]) for a, b, k in spans):
+                    rows.append((*key, *piece))
             yield pd.DataFrame(rows, columns=["doc", "field_name", "pii_type", "pii_text"])
 
     return docs.select(F.col(doc).alias("doc"), *fields).mapInPandas(search, f"doc {kind}, field_name string, pii_type string, pii_text string")
