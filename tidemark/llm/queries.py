@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm import mixing, packing, reading
 from tidemark.llm.names import UNMATCHED, map_names
 from tidemark.llm.personal import find_personal, redact
 from tidemark.llm.repeats import cut_lines, repeated_lines, with_repeated
 from tidemark.llm.subjects import assign_subjects, fitted
+from tidemark.llm.tokens import with_token_counts
+from tidemark.session import cut
 from tidemark.sources.tables import table
 
 
@@ -97,7 +100,62 @@ def p5_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.groupBy("job_family", "origin").agg(F.count(F.lit(1)).alias("n_notices"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_misses, p4_found, p4_redacted, p5_found, p5_shares, p6_found, p6_cut)}
+def _sized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with their sizes, without the texts; written once, as several steps read it."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "source", "text")
+    return cut(with_token_counts(docs, "text").select(F.col("doc_id").alias("doc"), "source", "n_tokens"))
+
+
+def _containers(spark: SparkSession, sf_dir: str) -> list[tuple[str, int, DataFrame]]:
+    kinds = table(spark, sf_dir, "container_sizes").where("capacity_tokens > 0").distinct().orderBy("capacity_tokens").limit(100).collect()
+    items = _sized(spark, sf_dir)
+    return [(k["container_kind"], k["capacity_tokens"], packing.pack(items, k["capacity_tokens"])) for k in kinds]
+
+
+def p8_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each text, or piece of an oversized text, lies, for every kind of container."""
+    parts = [placed.withColumn("container_kind", F.lit(kind)) for kind, _, placed in _containers(spark, sf_dir)]
+    union = parts[0]
+    for part in parts[1:]:
+        union = union.unionByName(part)
+    return union
+
+
+def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How full the containers of each kind are."""
+    parts = [packing.fill_report(placed, size).withColumns({"container_kind": F.lit(kind), "capacity": F.lit(size)}) for kind, size, placed in _containers(spark, sf_dir)]
+    union = parts[0]
+    for part in parts[1:]:
+        union = union.unionByName(part)
+    return union
+
+
+def p9_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stretches of documents drawn into each slot of each output shard."""
+    return mixing.mix(_sized(spark, sf_dir), table(spark, sf_dir, "mix_targets"))[0]
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shares reached by source, beside the targets."""
+    return mixing.mix(_sized(spark, sf_dir), table(spark, sf_dir, "mix_targets"))[1]
+
+
+def _graded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = reading.fitted(table(spark, sf_dir, "reading_samples"), "text", "reading_level")
+    return reading.grade(table(spark, sf_dir, "documents", "doc_id", "source", "text"), "text", model)
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The level of every document of running English."""
+    return _graded(spark, sf_dir).where("reading_level is not null").select("doc_id", "reading_level").distinct()
+
+
+def p10_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents by source and level."""
+    return reading.profile(_graded(spark, sf_dir), "source")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_misses, p4_found, p4_redacted, p5_found, p5_shares, p6_found, p6_cut, p8_packed, p8_fill, p9_mixed, p9_shares, p10_found, p10_profile)}
 
 _LINES = """
 WITH lines AS (
