@@ -47,7 +47,7 @@ def second_amount(text: Column) -> Column:
 
 def first_date(text: Column) -> Column:
     """The first ``d month yyyy`` as a date; null where that one is no real date."""
-    return F.try_to_date(or_null(F.regexp_extract(text, r"(\d{1,2}\s+[A-Za-z]+\s+\d{4})", 1)), F.lit("d MMMM yyyy"))
+    return F.try_to_date(or_null(F.regexp_extract(text, r"(\d{1,2}\s+[A-Za-z]+\s+\d{4})", 1)), "d MMMM yyyy")
 
 
 def sorted_parts(text: Column, separator: str = ",") -> Column:

@@ -62,6 +62,15 @@ def compared(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     return both.select(*[F.coalesce(F.col(k), F.col(f"_{k}")).alias(k) for k in keys], *values, "side")
 
 
+def joined_back(df: DataFrame, found: DataFrame, row: list[str]) -> DataFrame:
+    """``df`` with what was found for its rows; null in a row's key matches null."""
+    side = found.withColumnsRenamed({r: f"_key_{r}" for r in row})
+    condition = df[row[0]].eqNullSafe(F.col(f"_key_{row[0]}"))
+    for r in row[1:]:
+        condition = condition & df[r].eqNullSafe(F.col(f"_key_{r}"))
+    return df.join(side, condition, "left").drop(*[f"_key_{r}" for r in row])
+
+
 def longest_prefix(df: DataFrame, text: Column, names: DataFrame, key: str, target: str, rank: str, row: list[str], into: str = "matched", most_words: int = 12) -> DataFrame:
     """``df`` with the target whose key is the longest prefix of ``text`` ending at a word's end.
 
@@ -73,10 +82,7 @@ def longest_prefix(df: DataFrame, text: Column, names: DataFrame, key: str, targ
     laid = df.where(text.isNotNull() & (text != "")).select(*row, F.explode(F.array_distinct(prefixes)).alias("_prefix"))
     side = names.groupBy(F.col(key).alias("_prefix")).agg(F.min(F.struct(rank, target)).alias("_hit"))
     best = laid.join(small_side(side), "_prefix").groupBy(*row).agg(F.max_by(f"_hit.{target}", F.length("_prefix")).alias(into))
-    condition = df[row[0]].eqNullSafe(best[row[0]])
-    for r in row[1:]:
-        condition = condition & df[r].eqNullSafe(best[r])
-    return df.join(best, condition, "left").drop(*[best[r] for r in row])
+    return joined_back(df, best, row)
 
 
 def longest_start(df: DataFrame, text: str, names: DataFrame, name: str, into: str = "matched", row: list[str] | None = None) -> DataFrame:
@@ -93,10 +99,7 @@ def longest_start(df: DataFrame, text: str, names: DataFrame, name: str, into: s
     laid = df.select(*row, F.explode(F.filter(starts, lambda x: x.isNotNull())).alias("_start")).distinct()
     side = names.select(F.col(name).alias("_start")).where("_start is not null").distinct()
     best = laid.join(small_side(side), "_start").groupBy(*row).agg(F.max_by("_start", F.length("_start")).alias(into))
-    condition = df[row[0]].eqNullSafe(best[row[0]])
-    for r in row[1:]:
-        condition = condition & df[r].eqNullSafe(best[r])
-    return df.join(best, condition, "left").drop(*[best[r] for r in row])
+    return joined_back(df, best, row)
 
 
 def first_listed(df: DataFrame, tries: list[Column], known: DataFrame, key: str, target: str, row: list[str], into: str = "resolved") -> DataFrame:
@@ -107,10 +110,7 @@ def first_listed(df: DataFrame, tries: list[Column], known: DataFrame, key: str,
     laid = df.select(*row, F.posexplode(F.array(*tries)).alias("_place", "_try")).where("_try is not null and _try <> ''")
     side = known.where(F.col(target).isNotNull()).groupBy(F.col(key).alias("_try")).agg(F.min(target).alias("_target"))
     best = laid.join(small_side(side), "_try").groupBy(*row).agg(F.min_by("_target", "_place").alias(into))
-    condition = df[row[0]].eqNullSafe(best[row[0]])
-    for r in row[1:]:
-        condition = condition & df[r].eqNullSafe(best[r])
-    return df.join(best, condition, "left").drop(*[best[r] for r in row])
+    return joined_back(df, best, row)
 
 
 def key_violations(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -1,6 +1,7 @@
 """All queries of the core."""
 
-from tidemark.plans import problems
+from tidemark.plans import fields, problems, relations
 
-QUERIES = {**problems.QUERIES}
-ORACLE = {**problems.ORACLE}
+_PARTS = (problems, fields, relations)
+QUERIES = {name: query for part in _PARTS for name, query in part.QUERIES.items()}
+ORACLE = {name: sql for part in _PARTS for name, sql in part.ORACLE.items()}
