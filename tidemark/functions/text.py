@@ -33,6 +33,11 @@ def squeeze(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, up(r"\s+"), " "))
 
 
+def strip(text: Column) -> Column:
+    """White space of any kind off both ends."""
+    return F.regexp_replace(text, up(r"\A\s+|\s+\z"), "")
+
+
 # ---------------------------------------------------------------- amounts, dates, places, grades
 def first_amount(text: Column) -> Column:
     """The first dollar amount of two digits or more; decimals are left out."""
@@ -170,15 +175,15 @@ def sentences(text: Column) -> Column:
     """
     text = F.regexp_replace(text, "\r\n?", "\n")
     # a heading is parted from what follows by the same mark that parts sentences
-    lines = F.filter(F.transform(F.split(text, "\n"), lambda x: F.trim(x)), lambda x: x != "")
+    lines = F.filter(F.transform(F.split(text, "\n"), lambda x: strip(x)), lambda x: x != "")
     parts = F.flatten(F.transform(lines, lambda x: F.split(x, up(r"(?<=[.!?])\s+(?=[A-Z])"))))
-    units = F.flatten(F.transform(parts, lambda x: F.split(F.regexp_replace(F.trim(x), up(_FUSED, ignore_case=True), "$1\u001e"), "\u001e")))
-    kept = F.filter(units, lambda x: ~F.trim(x).rlike(up(_HEADING, ignore_case=True)))
-    return F.filter(F.transform(kept, lambda x: F.trim(F.regexp_replace(F.trim(x), up(_LABELS, ignore_case=True), ""))), lambda x: x != "")
+    units = F.flatten(F.transform(parts, lambda x: F.split(F.regexp_replace(strip(x), up(_FUSED, ignore_case=True), "$1\u001e"), "\u001e")))
+    kept = F.filter(units, lambda x: ~strip(x).rlike(up(_HEADING, ignore_case=True)))
+    return F.filter(F.transform(kept, lambda x: strip(F.regexp_replace(strip(x), up(_LABELS, ignore_case=True), ""))), lambda x: x != "")
 
 
 def simple_sentences(text: Column) -> Column:
     """Sentences by a rule that other engines share: lines, cut where an ending, white space and a
     capital follow one another."""
     marked = F.regexp_replace(text, r"([.!?])\s+([A-Z])", "$1\u001e$2")
-    return F.filter(F.transform(F.split(marked, "[\u001e\n]"), lambda x: F.trim(x)), lambda x: x != "")
+    return F.filter(F.transform(F.split(marked, "[\u001e\n]"), lambda x: strip(x)), lambda x: x != "")

@@ -108,13 +108,13 @@ def join_as_known(events: DataFrame, lineage: DataFrame, name: str, date: str, i
 
     One row per event and name in force. A name without changes is in force itself. Events with a null
     name or date get a null; blank names are treated as null. Repeated events stay repeated; columns of
-    the events keep their names (helper columns start with ``_``).
+    the events keep their names, save that a column named ``into`` is replaced.
     """
     points, attributes = versions_of(cut(intervals(lineage)))
-    keyed = events.withColumns({"_name": tidy_name(F.col(name)), "_at": F.col(date).cast("date")})
-    numbers = number_events(keyed, points, "_name", "_at")
+    keyed = events.drop(into).withColumns({"__asof_name": tidy_name(F.col(name)), "__asof_at": F.col(date).cast("date")})
+    numbers = number_events(keyed, points, "__asof_name", "__asof_at")
     # narrow rows meet their attributes first; a missing entry means a name that never changed
     known = numbers.join(attributes, ["name", "version"], "left").select(
-        F.col("name").alias("_name"), F.col("at").alias("_at"), F.coalesce("in_force", "name").alias(into)
+        F.col("name").alias("__asof_name"), F.col("at").alias("__asof_at"), F.coalesce("in_force", "name").alias(into)
     )
-    return keyed.join(known, ["_name", "_at"], "left").drop("_name", "_at")
+    return keyed.join(known, ["__asof_name", "__asof_at"], "left").drop("__asof_name", "__asof_at")
