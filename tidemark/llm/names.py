@@ -148,13 +148,15 @@ class Matcher:
         for piece in self.by_piece:
             for short in deletes(piece, reach(len(piece)) if len(piece) < 18 else 1):
                 self.by_delete[short].add(piece)
-        self.seen: dict[str, list[int]] = {}
+        self.longest = max(map(len, self.by_piece), default=0)
         self.parts = [(w, deletes(w, 2)) for w in PART_WORDS]
 
     @lru_cache(maxsize=200_000)
     def near(self, word: str) -> frozenset[int]:
         """Entries with a word, or words run together, within reach of ``word``."""
         found: set[int] = set()
+        if len(word) > self.longest + 2:
+            return frozenset()
         for short in deletes(word, reach(len(word)) if len(word) < 18 else 1):
             for piece in self.by_delete.get(short, ()):
                 found |= self.by_piece[piece]

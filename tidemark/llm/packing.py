@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 #: Most tokens a shard holds, on average.
 SHARD_TOKENS = 2_000_000
-_PLACED = "container string, position int, doc bigint, source string, piece int, token_start bigint, token_end bigint"
+_PLACED = "container string, position int, doc {doc}, source string, piece int, token_start bigint, token_end bigint"
 
 
 def pieces(items: DataFrame, capacity: int) -> DataFrame:
@@ -60,7 +60,7 @@ def fill(sizes: dict[str, list[tuple[int, int]]], capacity: int, shares: dict[st
 
 
 def pack(items: DataFrame, capacity: int, shares: dict[str, float] | None = None, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
-    """Place every piece of ``items(doc BIGINT, source, n_tokens)``: ``(container, position, doc, source,
+    """Place every piece of ``items(doc, source, n_tokens)``: ``(container, position, doc, source,
     piece, token_start, token_end)``.
 
     ``shares``: target share of tokens by source; without it the sources' own shares. A null source is a
@@ -115,7 +115,7 @@ def pack(items: DataFrame, capacity: int, shares: dict[str, float] | None = None
         out.insert(0, "container", names)
         return out
 
-    placed = open_.groupBy("shard").cogroup(owed.groupBy("shard")).applyInPandas(place, _PLACED)
+    placed = open_.groupBy("shard").cogroup(owed.groupBy("shard")).applyInPandas(place, _PLACED.format(doc=items.schema["doc"].dataType.simpleString()))
     return placed.unionByName(full)
 
 

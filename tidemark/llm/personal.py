@@ -30,7 +30,7 @@ KINDS = ("EMAIL", "PHONE", "ID_NUMBER", "ADDRESS", "NAME")
 
 _AT = r"(?:\s?@\s?|\s?[\[(]\s?at\s?[\])]\s?|\sat\s)"
 _DOT = r"(?:\.|\s?[\[(]\s?dot\s?[\])]\s?|\sdot\s)"
-_EMAIL = re.compile(rf"[A-Za-z0-9][\w.+%’'-]*{_AT}[A-Za-z0-9-]+(?:{_DOT}[A-Za-z0-9-]+)+", re.I)
+_EMAIL = re.compile(rf"(?<![\w.+%’'-])[A-Za-z0-9][\w.+%’'-]*{_AT}[A-Za-z0-9-]+(?:{_DOT}[A-Za-z0-9-]+)+", re.I)
 _STREET_WORDS = "Street|St|Road|Rd|Avenue|Ave|Av|Terrace|Tce|Drive|Dr|Parade|Pde|Lane|Ln|Crescent|Cres|Cr|Way|Place|Pl|Court|Ct|Highway|Hwy|Boulevard|Blvd|Bvd|Esplanade|Esp|Close|Cl|Circuit|Cct|Quay|Square|Sq|Grove|Gr|Rise|Walk|Row|Mews|Track"
 _STATES = r"(?:NSW|VIC|Vic|Qld|QLD|SA|WA|Tas|TAS|ACT|NT|New South Wales|Victoria|Queensland|South Australia|Western Australia|Tasmania|Northern Territory)"
 _PLACE = rf"(?!(?:{_STREET_WORDS})\b)[A-Z][\w’'-]+(?:\s(?:[A-Z][\w’'-]+|on|upon|of|the)){{0,3}}?"
@@ -488,13 +488,13 @@ def find_personal(docs: DataFrame, doc: str, fields: list[str], tools: dict | No
         for batch in batches:
             rows = []
             texts = [t if isinstance(t, str) else None for name in fields for t in batch[name]]
-            keys = [(key, name) for name in fields for key in batch["doc"]]
+            keys = [(key, name) for name in fields for key in batch["__doc"]]
             for key, text, spans in zip(keys, texts, finder(texts)):
                 for piece in dict.fromkeys((k, text[a:b]) for a, b, k in spans):
                     rows.append((*key, *piece))
             yield pd.DataFrame(rows, columns=["doc", "field_name", "pii_type", "pii_text"])
 
-    return docs.select(F.col(doc).alias("doc"), *fields).mapInPandas(search, f"doc {kind}, field_name string, pii_type string, pii_text string")
+    return docs.select(F.col(doc).alias("__doc"), *fields).mapInPandas(search, f"doc {kind}, field_name string, pii_type string, pii_text string")
 
 
 def redact(text: Column, tools: dict | None = None) -> Column:

@@ -168,7 +168,7 @@ class Model:
     def grade(self, texts: list[str | None]) -> list[int | None]:
         """Level of each text; None where it is no running English of the least length."""
         rows, at = [], []
-        for i, text in enumerate(texts):
+        for i, text in enumerate(texts if self.levels else []):
             if isinstance(text, str) and is_english(text, self.settings):
                 sentences = sentences_of(text)
                 if sentences:
@@ -193,12 +193,12 @@ def _cut_points(score: np.ndarray, levels: np.ndarray, kinds: list[int]) -> list
 
 
 def fit(samples: list[tuple[str, int]], settings: Settings = Settings()) -> Model:
-    """Fit on graded passages; vocabulary seen by the trees comes from other folds than the passage's own."""
+    """Fit on graded passages of two levels at least (else no text gets a level); vocabulary seen by the trees comes from other folds than the passage's own."""
     passages = [sentences_of(t) for t, _ in samples]
     levels = np.array([y for _, y in samples], dtype=float)
     usable = [i for i, p in enumerate(passages) if p]
     if not usable or len(set(levels[usable])) < 2:
-        raise ValueError("passages of two levels at least are needed")
+        return Model([], Boosted(), [], {}, 0.0, settings)  # nothing to tell apart: no text gets a level
     kinds = sorted({int(x) for x in levels[usable]})
     fold = np.random.default_rng(3).permutation(len(samples)) % settings.folds
     x: dict[int, np.ndarray] = {}

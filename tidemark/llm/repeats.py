@@ -159,7 +159,7 @@ def repeated_lines(
     common = cut(counted.join(totals, "source").where("n >= least").groupBy("source").agg(F.collect_list("chunk").alias("chunks")))
     entries = common.agg(F.sum(F.size("chunks"))).first()[0] or 0
     joined = texts.join(F.broadcast(common) if entries <= broadcast_chunks else common, "source", "left")
-    candidates = cut(joined.mapInPandas(_candidate_lines(least_words), "doc bigint, source string, keys array<string>"))
+    candidates = cut(joined.mapInPandas(_candidate_lines(least_words), f"doc {rows.schema['doc'].dataType.simpleString()}, source string, keys array<string>"))
 
     hashed = candidates.select("doc", "source", F.explode("keys").alias("key")).select("doc", "source", F.xxhash64("key").alias("line"))
     lines = hashed.distinct().groupBy("source", "line").agg(F.count(F.lit(1)).alias("n"))
@@ -172,6 +172,7 @@ def with_repeated(docs: DataFrame, repeated: DataFrame, source: str, broadcast_l
     entries = repeated.agg(F.sum(F.size("repeated"))).first()[0] or 0
     side = repeated.withColumnRenamed("source", "_source")
     side = F.broadcast(side) if entries <= broadcast_lines else side
+    docs = docs.drop("repeated")
     return docs.join(side, docs[source] == side["_source"], "left").drop("_source")
 
 

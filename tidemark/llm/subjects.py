@@ -81,13 +81,13 @@ class Model:
 
     def assign(self, lines: list[str]) -> np.ndarray:
         """Number of the subject of each line, -1 for none."""
-        if not lines:
-            return np.zeros(0, dtype=int)
+        if not lines or not self.index:
+            return np.full(len(lines), -1, dtype=int)
         embedded, mass = self.embed(lines)
         near = embedded @ self.centroids.T
         first = near.argmax(axis=1)
         best = near[np.arange(len(lines)), first]
-        near[np.arange(len(lines)), first] = -1
+        near[np.arange(len(lines)), first] = -1  # with one subject the lead is over this
         good = (best >= self.bar) & (best - near.max(axis=1) >= self.margin) & (mass >= self.mass)
         return np.where(good, first, -1)
 
@@ -176,6 +176,8 @@ def _unit(x: np.ndarray) -> np.ndarray:
 def calibrate(model: Model, docs: list[tuple[str, set[str]]], least_lines: int) -> Model:
     """Set the bars where the subjects found on documents not fitted on agree best with the known ones."""
     best = (-1.0, model.bar, model.margin, model.mass)
+    if not model.index or len(model.subjects) < 2:
+        return model
     cached = []
     for text, known in docs:
         lines = lines_of(text)
