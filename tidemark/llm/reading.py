@@ -14,6 +14,7 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -25,9 +26,12 @@ from tidemark.llm.boosting import Boosted
 #: Frequent function words of English; their share tells running English from other languages and lists.
 FUNCTION_WORDS = set("the of and to a in is for that on it with be are as by or at this which not from an was will you if we can has have".split())
 _SUBORDINATE = set("although because since unless whereas while whether albeit notwithstanding insofar irrespective whereupon thereby lest if when where which that who whom whose provided".split())
+_ADDRESS = {"you", "your", "we", "us", "our"}
+_VOWELS = re.compile(r"[aeiouy]+")
 _CONNECT = set("however therefore moreover thus hence accordingly consequently furthermore nevertheless also then but and so first next finally".split())
 _WORD = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*")
 _BULLET = re.compile(r"^\s*(?:[•*–-]|\(?\d{1,3}[.)]|\(?[a-z][.)])\s+")
+_DIGIT = re.compile(r"\d")
 _END = re.compile(r"(?<=[.!?])[\"'”’)]*\s+|(?<=[.!?])$")
 
 
@@ -57,7 +61,7 @@ def sentences_of(text: str) -> list[list[str]]:
         if not bare:
             open_block = False
         elif item or not open_block:
-            if len(words) >= 3 and sum(c.isdigit() for c in body) * 4 < len(body):
+            if len(words) >= 3 and len(_DIGIT.findall(body)) * 4 < len(body):
                 blocks.append(body)
                 open_block = not item
         else:
@@ -87,7 +91,15 @@ def terms(words: list[str]) -> list[str]:
     return words + [f"{a} {b}" for a, b in zip(["^", *words], words)]
 
 
-def _grades(passages: list[list[list[str]]], levels: np.ndarray) -> tuple[dict[str, tuple[float, ...]], int]:
+@dataclass
+class Vocabulary:
+    """Log odds of the levels by term."""
+
+    index: dict[str, int]
+    odds: np.ndarray
+
+
+def _grades(passages: list[list[list[str]]], levels: np.ndarray) -> Vocabulary:
     """Log odds of each level for each term, from how often it stands in sentences of passages of a level.
 
     Passages hold sentences of other levels too, so sentences are weighed again by the level they
@@ -101,7 +113,7 @@ def _grades(passages: list[list[list[str]]], levels: np.ndarray) -> tuple[dict[s
     for turn in range(4):
         counts: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(len(kinds)))
         for (words, _), weight in zip(rows, soft):
-            for t in set(terms(words)):
+            for t in dict.fromkeys(terms(words)):
                 counts[t] += weight
         size = soft.sum(axis=0)
         table = {}
@@ -112,45 +124,55 @@ def _grades(passages: list[list[list[str]]], levels: np.ndarray) -> tuple[dict[s
         if turn == 3:
             break
         for i, (words, k) in enumerate(rows):
-            near = [table[t] for t in set(terms(words)) if t in table]
+            near = [table[t] for t in dict.fromkeys(terms(words)) if t in table]
             logit = (np.sum(near, axis=0) if near else np.zeros(len(kinds))) * 0.5
             logit[k] += 1.5
             e = np.exp(logit - logit.max())
             soft[i] = e / e.sum()
-    return {t: tuple(v) for t, v in table.items()}, len(kinds)
+    return Vocabulary({t: i for i, t in enumerate(table)}, np.array(list(table.values())).reshape(len(table), len(kinds)))
 
 
-def _syllables(word: str) -> int:
-    return max(1, len(re.findall(r"[aeiouy]+", word)) - (word.endswith("e") and not word.endswith("le")))
+@lru_cache(maxsize=200_000)
+def _measures(word: str) -> tuple[float, ...]:
+    """Length, syllables, long, very long, subordinator, connective, address, abstract noun, past form."""
+    syllables = max(1, len(_VOWELS.findall(word)) - (word.endswith("e") and not word.endswith("le")))
+    return (
+        len(word), syllables, syllables >= 3, syllables >= 5, word in _SUBORDINATE, word in _CONNECT, word in _ADDRESS,
+        word.endswith(("tion", "ment", "ity", "ance", "ence")), word.endswith("ed"),
+    )
 
 
-def features(sentences: list[list[str]], text: str, table: dict[str, tuple[float, ...]], kinds: int) -> np.ndarray:
+def _places(values: np.ndarray, parts: tuple[float, ...]) -> list[float]:
+    """Order statistics at parts of the length, without interpolation."""
+    ordered = np.sort(values)
+    return [float(ordered[int(p * (len(ordered) - 1) + 0.5)]) for p in parts]
+
+
+def features(sentences: list[list[str]], text: str, table: Vocabulary) -> np.ndarray:
     """One row of length, vocabulary, syntax and cohesion measures."""
     lengths = np.array([len(s) for s in sentences], dtype=float)
     every = [w for s in sentences for w in s]
-    sizes = np.array([len(w) for w in every], dtype=float)
-    syllables = np.array([_syllables(w) for w in every], dtype=float)
-    n = max(1, len(every))
-    row = [*np.quantile(lengths, (0.1, 0.25, 0.5, 0.75, 0.9)), lengths.mean(), *np.quantile(sizes, (0.5, 0.75, 0.9)), sizes.mean(), syllables.mean(), (syllables >= 3).mean(), (syllables >= 5).mean()]
-    row += [len(set(every)) / n, np.mean([len(set(s)) / len(s) for s in sentences])]
-    row += [text.count(",") / n, text.count(";") / n, sum(w in _SUBORDINATE for w in every) / n, sum(w in _CONNECT for w in every) / n]
-    row += [sum(w in ("you", "your", "we", "us", "our") for w in every) / n, sum(w.endswith(("tion", "ment", "ity", "ance", "ence")) for w in every) / n, sum(w.endswith("ed") for w in every) / n]
-    shared = [len(set(a) & set(b)) / min(len(set(a)), len(set(b))) for a, b in zip(sentences, sentences[1:])]
-    row += [float(np.mean(shared)) if shared else 0.0]
+    measures = np.array([_measures(w) for w in every], dtype=float)
+    n = len(every)
+    sets = [set(s) for s in sentences]
+    row = [*_places(lengths, (0.1, 0.25, 0.5, 0.75, 0.9)), lengths.mean(), *_places(measures[:, 0], (0.5, 0.75, 0.9)), *measures.mean(axis=0)]
+    row += [len(set(every)) / n, sum(len(x) / len(s) for x, s in zip(sets, sentences)) / len(sentences), text.count(",") / n, text.count(";") / n]
+    shared = [len(a & b) / min(len(a), len(b)) for a, b in zip(sets, sets[1:])]
+    row += [sum(shared) / len(shared) if shared else 0.0]
     # vocabulary: each sentence's leaning to the levels, as a distribution over sentences
-    lean = np.zeros((len(sentences), kinds))
+    kinds = table.odds.shape[1]
+    logit = np.zeros((len(sentences), kinds))
     for i, s in enumerate(sentences):
-        known = [table[t] for t in set(terms(s)) if t in table]
+        known = [table.index[t] for t in dict.fromkeys(terms(s)) if t in table.index]
         if known:
-            logit = np.sum(known, axis=0) * 0.5
-            e = np.exp(logit - logit.max())
-            lean[i] = e / e.sum()
-    weight = lengths / lengths.sum()
-    mean = (weight[:, None] * lean).sum(axis=0)
+            logit[i] = table.odds[known].sum(axis=0) * 0.5
+    e = np.exp(logit - logit.max(axis=1, keepdims=True))
+    lean = e / e.sum(axis=1, keepdims=True)
+    mean = (lengths / lengths.sum()) @ lean
     scale = np.arange(1, kinds + 1)
     expected = lean @ scale
     best = np.bincount(lean.argmax(axis=1), minlength=kinds) / len(sentences)
-    row += [*mean, *best, *lean.mean(axis=0), float(mean @ scale), float(expected.mean()), *np.quantile(expected, (0.25, 0.5, 0.75))]
+    row += [*mean, *best, *lean.mean(axis=0), float(mean @ scale), float(expected.mean()), *_places(expected, (0.25, 0.5, 0.75))]
     return np.nan_to_num(np.array(row, dtype=float))
 
 
@@ -161,7 +183,7 @@ class Model:
     levels: list[int]
     trees: Boosted
     cuts: list[float]
-    table: dict[str, tuple[float, ...]]
+    table: Vocabulary | None
     agreement: float = 0.0
     settings: Settings = field(default_factory=Settings)
 
@@ -172,7 +194,7 @@ class Model:
             if isinstance(text, str) and is_english(text, self.settings):
                 sentences = sentences_of(text)
                 if sentences:
-                    rows.append(features(sentences, text, self.table, len(self.levels)))
+                    rows.append(features(sentences, text, self.table))
                     at.append(i)
         out: list[int | None] = [None] * len(texts)
         if rows:
@@ -198,15 +220,15 @@ def fit(samples: list[tuple[str, int]], settings: Settings = Settings()) -> Mode
     levels = np.array([y for _, y in samples], dtype=float)
     usable = [i for i, p in enumerate(passages) if p]
     if not usable or len(set(levels[usable])) < 2:
-        return Model([], Boosted(), [], {}, 0.0, settings)  # nothing to tell apart: no text gets a level
+        return Model([], Boosted(), [], None, 0.0, settings)  # nothing to tell apart: no text gets a level
     kinds = sorted({int(x) for x in levels[usable]})
     fold = np.random.default_rng(3).permutation(len(samples)) % settings.folds
     x: dict[int, np.ndarray] = {}
     for f in range(settings.folds):
-        table, _ = _grades([passages[i] for i in usable if fold[i] != f], levels[[i for i in usable if fold[i] != f]])
+        table = _grades([passages[i] for i in usable if fold[i] != f], levels[[i for i in usable if fold[i] != f]])
         for i in usable:
             if fold[i] == f:
-                x[i] = features(passages[i], samples[i][0], table, len(kinds))
+                x[i] = features(passages[i], samples[i][0], table)
     matrix, y = np.array([x[i] for i in usable]), levels[usable]
     parts = fold[usable]
     outside = np.zeros(len(y))
@@ -214,7 +236,7 @@ def fit(samples: list[tuple[str, int]], settings: Settings = Settings()) -> Mode
         outside[parts == f] = Boosted("squared", trees=80, depth=3, rate=0.1).fit(matrix[parts != f], y[parts != f]).score(matrix[parts == f])
     cuts = _cut_points(outside, y, kinds)
     right = np.mean(np.array(kinds)[np.searchsorted(cuts, outside)] == y)
-    table, _ = _grades([passages[i] for i in usable], y)
+    table = _grades([passages[i] for i in usable], y)
     return Model(kinds, Boosted("squared", trees=80, depth=3, rate=0.1).fit(matrix, y), cuts, table, float(right), settings)
 
 

@@ -72,7 +72,7 @@ class Model:
         out = np.zeros((len(lines), self.vectors.shape[1]), dtype=np.float32)
         mass = np.zeros(len(lines), dtype=np.float32)
         for i, line in enumerate(lines):
-            ids = [self.index[t] for t in set(terms_of(line)) if t in self.index]
+            ids = [self.index[t] for t in dict.fromkeys(terms_of(line)) if t in self.index]
             if ids:
                 out[i] = self.vectors[ids].sum(axis=0)
                 mass[i] = self.weights[ids].sum()
