@@ -10,15 +10,15 @@ from tidemark.functions.patterns import unicode_pattern as up
 #: What redaction puts in place of what it finds.
 EMAIL_MARK, PHONE_MARK, NAME_MARK = "[email redacted]", "[phone redacted]", "[name redacted]"
 EMAIL = r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}"
-#: Shapes of Australian telephone numbers, separators optional, without digit boundaries.
+#: Shapes of Australian telephone numbers, separators optional, without digit boundaries (fixed values).
 PHONE_SHAPES = (
-    r"\+61[ .\-]?4\d{2}[ .\-]?\d{3}[ .\-]?\d{3}",
-    r"04\d{2}[ .\-]?\d{3}[ .\-]?\d{3}",
-    r"\+61[ .\-]?[2378][ .\-]?\d{4}[ .\-]?\d{4}",
-    r"\(0[2378]\)[ .\-]?\d{4}[ .\-]?\d{4}",
-    r"0[2378][ .\-]?\d{4}[ .\-]?\d{4}",
-    r"1[38]00[ .\-]?\d{3}[ .\-]?\d{3}",
-    r"13[ .\-]?\d{2}[ .\-]?\d{2}",
+    r"\+61[\s\-.]?4\d{2}[\s\-.]?\d{3}[\s\-.]?\d{3}",
+    r"04\d{2}[\s\-.]?\d{3}[\s\-.]?\d{3}",
+    r"\+61[\s\-.]?\d[\s\-.]?\d{4}[\s\-.]?\d{4}",
+    r"\(\s*0\d\s*\)[\s\-.]?\d{4}[\s\-.]?\d{4}",
+    r"0\d[\s\-.]?\d{4}[\s\-.]?\d{4}",
+    r"1[38]00[\s\-.]?\d{3}[\s\-.]?\d{3}",
+    r"13[\s\-.]?\d{2}[\s\-.]?\d{2}",
 )
 PHONE = "|".join(PHONE_SHAPES)
 
@@ -140,14 +140,14 @@ def redact_contacts(text: Column, prefixes: tuple[str, ...] = ("please contact",
     """E-mail addresses, telephone numbers and names after contact phrases replaced; doing it twice
     changes nothing more.
 
-    A name is up to four words after a phrase, taken as a whole; it stays where one of the words does not
-    begin with a capital. Three replacements: candidates are marked, marks round capitalised words are
-    turned into the placeholder, left-over marks go.
+    A name is two to four words after a phrase, as many as there are, taken as a whole; it stays where one
+    of the words does not begin with a capital. Three replacements: candidates are marked, marks round
+    capitalised words are turned into the placeholder, left-over marks go.
     """
     text = F.regexp_replace(text, EMAIL, EMAIL_MARK)
     text = F.regexp_replace(text, PHONE, PHONE_MARK)
     lead = "|".join(p.replace(" ", r"\s+") for p in prefixes)
-    spot = up(rf"\b((?:{lead})[\s:,–—-]+)(?!officer\b)(\w+(?:\s+\w+){{0,3}})(?=\s*(?:$|[^\w\s]))", ignore_case=True)
+    spot = up(rf"((?:{lead})[\s:,–-]*)(?!officer\b)([A-Za-z]{{2,}}(?:\s+[A-Za-z]{{2,}}){{1,3}})", ignore_case=True)
     text = F.regexp_replace(text, spot, "$1\u0001$2\u0002")
     text = F.regexp_replace(text, up("\u0001[A-Z]\\w*+(?:\\s+[A-Z]\\w*+)*\u0002"), NAME_MARK)
     return F.regexp_replace(text, "[\u0001\u0002]", "")

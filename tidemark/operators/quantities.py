@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -67,7 +68,9 @@ def read_amounts(text: str) -> tuple[list[tuple[int, bool, str | None]], str | N
     text = re.sub(r"[   ]", " ", text)
     hours = _WEEKLY_HOURS.search(text)
     text = _GRADES.sub(" ", _ON_TOP.sub(" ", _WEEKLY_HOURS.sub(" ", text)))
-    found = list(_AMOUNT.finditer(text))[:2]
+    found = list(islice(_AMOUNT.finditer(text), 2))
+    if any(len(m[1]) > 15 for m in found):
+        return [], None, None  # no amount has so many digits
     amounts = [(_parts(m[1]), bool(m[2]), unit_of(m[3])) for m in found]
     return amounts, unit_of(text[: found[0].start()]) if found else None, _parts(hours[1]) if hours else None
 
@@ -108,7 +111,7 @@ def to_common_unit(
 
     ``per_year`` says how often each unit falls in a year. Units come from ``column``, else from a line
     of ``described_in``, else the year. Its fields are null for null or empty texts, texts without an
-    amount, amounts in another named currency, amounts of zero and units not in ``per_year``. Ends are
+    amount, amounts in another named currency, amounts of zero or of more than 15 signs, and units not in ``per_year``. Ends are
     put in ascending order. Rows are kept as they are, repeated ones too.
     """
 
