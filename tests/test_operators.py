@@ -66,7 +66,7 @@ NOTICES = "id int, body string, ad string, title string, day date, text string"
 def _audit(spark, rows, limits):
     df = spark.createDataFrame(rows, NOTICES)
     parts = B.sentence_rows(df, "id", "body", "ad", "title", "day", "text")
-    return parts, B.audit(B.frequencies(parts, df, "body", "day", "text"), parts, limits, r"(?i)keep this")
+    return parts, B.audit(B.frequencies(parts, df, "body", "day", "text", limits), parts, limits, r"(?i)keep this")
 
 
 def test_boilerplate_boundaries(spark):

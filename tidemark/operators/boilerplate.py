@@ -1,7 +1,7 @@
 """Sentences repeated across the notices of one body, or of all, in a quarter.
 
-Sentences are split once. Two frequencies come from one pass by grouping sets: by (body, quarter,
-sentence) and by (quarter, sentence). The best quarter of a sentence is the one with the highest share
+Sentences are split once and counted by (body, quarter, sentence) and, summed from that, by (quarter,
+sentence). The best quarter of a sentence is the one with the highest share
 of notices, the earliest of equal ones; a sentence is flagged there if enough different titles use it.
 """
 
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.text import plain_key, sentences, title_key
 from tidemark.operators.relational import small_side
+from tidemark.session import cut
 
 #: Name under which sentences of the whole corpus are listed.
 EVERYONE = "__GLOBAL__"
@@ -51,21 +52,33 @@ def sentence_rows(notices: DataFrame, row: str, body: str, ad: str, title: str,
     return base.withColumn("key", plain_key(F.col("sentence"))).where("key <> ''")
 
 
-def frequencies(rows: DataFrame, notices: DataFrame, body: str, date: str, text: str) -> DataFrame:
-    """``(body, quarter, key, n_ads, n_titles, bin_size)``; ``body`` is EVERYONE for the whole corpus.
+def bin_sizes(notices: DataFrame, body: str, date: str, text: str) -> DataFrame:
+    """``(body, quarter, bin_size)``: notices with a text; EVERYONE for the whole corpus. Notices without a
+    body count for the whole corpus only."""
+    sizes = notices.where(F.col(text).isNotNull() & F.col(date).isNotNull()).groupBy(F.col(body).alias("body"), quarter_of(F.col(date)).alias("quarter")).agg(F.count(F.lit(1)).alias("bin_size"))
+    every = sizes.groupBy("quarter").agg(F.sum("bin_size").alias("bin_size")).select(F.lit(EVERYONE).alias("body"), "quarter", "bin_size")
+    return sizes.where("body is not null").unionByName(every)
 
-    Notices without a body count for the whole corpus only. A quarter's size is its notices with a text.
+
+def frequencies(rows: DataFrame, notices: DataFrame, body: str, date: str, text: str, limits: Thresholds) -> DataFrame:
+    """``(body, quarter, key, n_ads, n_titles, bin_size)`` of all sentences that may reach their threshold.
+
+    Mentions are counted first, for bodies and, summed from those, for the corpus. A sentence has at least
+    as many mentions as notices, so those with too few mentions need no distinct count; what is left is a
+    small part of all sentences, and only its rows are counted by distinct notice and title.
     """
-    sizes = notices.where(F.col(text).isNotNull() & F.col(date).isNotNull()).select(F.col(body).alias("body"), quarter_of(F.col(date)).alias("quarter"))
-    sizes = sizes.groupingSets([["body", "quarter"], ["quarter"]], "body", "quarter").agg(F.count(F.lit(1)).alias("bin_size"), F.grouping("body").alias("all"))
-    sizes = sizes.where("all = 1 or body is not null").select(F.when(F.col("all") == 1, EVERYONE).otherwise(F.col("body")).alias("body"), "quarter", "bin_size")
-    # distinct mentions first, so that the counting sets see each once
-    once = rows.where("quarter is not null").select("body", "quarter", "key", "ad", "title").distinct()
-    counts = once.groupingSets([["body", "quarter", "key"], ["quarter", "key"]], "body", "quarter", "key").agg(
-        F.count_distinct("ad").alias("n_ads"), F.count_distinct("title").alias("n_titles"), F.grouping("body").alias("all")
-    )
-    counts = counts.where("all = 1 or body is not null").withColumn("body", F.when(F.col("all") == 1, EVERYONE).otherwise(F.col("body"))).drop("all")
-    return counts.join(small_side(sizes), ["body", "quarter"])
+    dated = rows.where("quarter is not null")
+    mentions = dated.groupBy("body", "quarter", "key").agg(F.count(F.lit(1)).alias("n"))
+    every = mentions.groupBy("quarter", "key").agg(F.sum("n").alias("n")).select(F.lit(EVERYONE).alias("body"), "quarter", "key", "n")
+    sizes = small_side(cut(bin_sizes(notices, body, date, text)))
+    global_ = F.col("body") == EVERYONE
+    enough = F.col("bin_size") >= F.when(global_, limits.global_ads).otherwise(limits.least_ads)
+    often = F.col("n") >= F.col("bin_size") * F.when(global_, limits.global_share).otherwise(limits.share)
+    may = cut(mentions.where("body is not null").unionByName(every).join(sizes, ["body", "quarter"]).where(enough & often).drop("n"))
+    exact = [F.count_distinct("ad").alias("n_ads"), F.count_distinct("title").alias("n_titles")]
+    own = dated.join(small_side(may.where(~global_)), ["body", "quarter", "key"]).groupBy("body", "quarter", "key", "bin_size").agg(*exact)
+    whole = dated.drop("body").join(small_side(may.where(global_)), ["quarter", "key"]).groupBy("body", "quarter", "key", "bin_size").agg(*exact)
+    return own.unionByName(whole)
 
 
 def audit(counts: DataFrame, rows: DataFrame, limits: Thresholds, protected: str | None = None) -> DataFrame:
@@ -78,7 +91,7 @@ def audit(counts: DataFrame, rows: DataFrame, limits: Thresholds, protected: str
     best = F.row_number().over(Window.partitionBy("body", "key").orderBy(F.col("share").desc(), "quarter"))
     over = counts.where(F.col("bin_size") >= least_ads).withColumn("share", F.col("n_ads") / F.col("bin_size"))
     over = over.withColumn("_best", best).where("_best = 1").drop("_best").where(F.col("share") >= share)
-    over = over.withColumn("flagged", F.col("n_titles") >= titles)
+    over = cut(over.withColumn("flagged", F.col("n_titles") >= titles))
     wanted = over.select("key").distinct()
     met = rows.where("quarter is not null").join(small_side(wanted), "key", "left_semi")
     first = F.min_by("sentence", F.struct("quarter", "row_id", "pos"))
@@ -93,7 +106,7 @@ def stripped(rows: DataFrame, flagged: DataFrame, protected: str | None = None)
     """``(row_id, clean)``: the sentences of each row that are protected or flagged neither for its body
     nor for everyone, joined by blanks in order; null where none is left. Rows without a body meet the
     corpus-wide list only."""
-    keys = flagged.where("flagged").select("body", "key").distinct()
+    keys = cut(flagged.where("flagged").select("body", "key").distinct())
     own = keys.where(F.col("body") != EVERYONE).withColumn("_own", F.lit(True))
     every = keys.where(F.col("body") == EVERYONE).select("key", F.lit(True).alias("_all"))
     marked = rows.join(small_side(own), ["body", "key"], "left").join(small_side(every), "key", "left")

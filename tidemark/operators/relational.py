@@ -10,7 +10,10 @@ MOST_BROADCAST = 200_000
 
 
 def small_side(df: DataFrame, most: int = MOST_BROADCAST) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``most`` rows, else as it is."""
+    """``df`` with a broadcast hint if it has at most ``most`` rows, else as it is.
+
+    Rows are counted up to the bound by running ``df``, so it should be a stored or cheap table.
+    """
     return F.broadcast(df) if len(df.limit(most + 1).select(F.lit(1)).take(most + 1)) <= most else df
 
 

@@ -76,13 +76,13 @@ def q_sentences(spark: SparkSession, d: str) -> DataFrame:
 def q_boilerplate_audit(spark: SparkSession, d: str) -> DataFrame:
     """Sentences over the frequency thresholds, by body and for all."""
     notices, rows = _sentences(spark, d)
-    counts = B.frequencies(rows, notices, "agency_canonical", "gazette_date", "description")
+    counts = B.frequencies(rows, notices, "agency_canonical", "gazette_date", "description", LIMITS)
     return B.audit(counts, rows, LIMITS, PROTECTED)
 
 
 def _stripped(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     notices, rows = _sentences(spark, d)
-    counts = B.frequencies(rows, notices, "agency_canonical", "gazette_date", "description")
+    counts = B.frequencies(rows, notices, "agency_canonical", "gazette_date", "description", LIMITS)
     return notices, B.stripped(rows, B.audit(counts, rows, LIMITS, PROTECTED), PROTECTED)
 
 
