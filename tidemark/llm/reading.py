@@ -14,7 +14,6 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from dataclasses import dataclass, field
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -30,6 +29,7 @@ _ADDRESS = {"you", "your", "we", "us", "our"}
 _VOWELS = re.compile(r"[aeiouy]+")
 _CONNECT = set("however therefore moreover thus hence accordingly consequently furthermore nevertheless also then but and so first next finally".split())
 _WORD = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*")
+_THREE_WORDS = re.compile(r"(?:[^\W\d_]+[^\w]+[\W\d_]*){2}[^\W\d_]")
 _BULLET = re.compile(r"^\s*(?:[•*–-]|\(?\d{1,3}[.)]|\(?[a-z][.)])\s+")
 _DIGIT = re.compile(r"\d")
 _END = re.compile(r"(?<=[.!?])[\"'”’)]*\s+|(?<=[.!?])$")
@@ -51,28 +51,28 @@ def sentences_of(text: str) -> list[list[str]]:
     page furniture (short lines without an ending, figures) is left out."""
     blocks: list[str] = []
     open_block = False
-    lines = text.replace("&", " and ").split("\n")
-    width = max((len(line) for line in lines), default=0)
+    lines = text.lower().replace("&", " and ").replace("’", "'").split("\n")
+    width = 0.6 * max(map(len, lines), default=0)
     for line in lines:
         bare = line.strip()
-        item = _BULLET.match(line)
-        body = _BULLET.sub("", line).strip()
-        words = _WORD.findall(body)
         if not bare:
             open_block = False
-        elif item or not open_block:
-            if len(words) >= 3 and len(_DIGIT.findall(body)) * 4 < len(body):
+            continue
+        body, items = _BULLET.subn("", line, 1)
+        body = body.strip()
+        if items or not open_block:
+            if _THREE_WORDS.search(body) and len(_DIGIT.findall(body)) * 4 < len(body):
                 blocks.append(body)
-                open_block = not item
+                open_block = not items
         else:
             blocks[-1] += " " + body
         # a line that ends a sentence well short of the margin ends its block
-        if open_block and bare and re.search(r"[.!?]$", bare) and len(line) < 0.6 * width:
+        if open_block and len(line) < width and bare[-1] in ".!?":
             open_block = False
     out = []
     for block in blocks:
         for part in _END.split(block):
-            words = [w.lower().replace("’", "'") for w in _WORD.findall(part)]
+            words = _WORD.findall(part)
             if len(words) >= 3:
                 out.append(words)
     return out
@@ -82,8 +82,8 @@ def is_english(text: str, settings: Settings) -> bool:
     """Whether a text is running English of at least the least words, counted between white space."""
     if len(text.split()) < settings.least_words:
         return False
-    words = [w.lower() for w in _WORD.findall(text)]
-    return len(words) >= 10 and sum(w in FUNCTION_WORDS for w in words) >= settings.english * len(words)
+    words = _WORD.findall(text.lower())
+    return len(words) >= 10 and sum(map(FUNCTION_WORDS.__contains__, words)) >= settings.english * len(words)
 
 
 def terms(words: list[str]) -> list[str]:
@@ -132,7 +132,6 @@ def _grades(passages: list[list[list[str]]], levels: np.ndarray) -> Vocabulary:
     return Vocabulary({t: i for i, t in enumerate(table)}, np.array(list(table.values())).reshape(len(table), len(kinds)))
 
 
-@lru_cache(maxsize=200_000)
 def _measures(word: str) -> tuple[float, ...]:
     """Length, syllables, long, very long, subordinator, connective, address, abstract noun, past form."""
     syllables = max(1, len(_VOWELS.findall(word)) - (word.endswith("e") and not word.endswith("le")))
@@ -142,6 +141,29 @@ def _measures(word: str) -> tuple[float, ...]:
     )
 
 
+class Words:
+    """Words numbered as they are met, with their measures in one array; forgets all when it grows large."""
+
+    def __init__(self, most: int = 500_000):
+        self.most, self.numbers, self.rows = most, {}, np.zeros((1024, 9))
+
+    def __call__(self, sentences: list[list[str]]) -> list[list[int]]:
+        if len(self.numbers) > self.most:
+            self.numbers.clear()
+        known = self.numbers
+        for s in sentences:
+            for w in s:
+                if w not in known:
+                    if len(known) == len(self.rows):
+                        self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+                    self.rows[len(known)] = _measures(w)
+                    known[w] = len(known)
+        return [[known[w] for w in s] for s in sentences]
+
+
+_WORDS = Words()
+
+
 def _places(values: np.ndarray, parts: tuple[float, ...]) -> list[float]:
     """Order statistics at parts of the length, without interpolation."""
     ordered = np.sort(values)
@@ -151,10 +173,11 @@ def _places(values: np.ndarray, parts: tuple[float, ...]) -> list[float]:
 def features(sentences: list[list[str]], text: str, table: Vocabulary) -> np.ndarray:
     """One row of length, vocabulary, syntax and cohesion measures."""
     lengths = np.array([len(s) for s in sentences], dtype=float)
-    every = [w for s in sentences for w in s]
-    measures = np.array([_measures(w) for w in every], dtype=float)
+    numbered = _WORDS(sentences)
+    every = [w for s in numbered for w in s]
+    measures = _WORDS.rows[every]
     n = len(every)
-    sets = [set(s) for s in sentences]
+    sets = [set(s) for s in numbered]
     row = [*_places(lengths, (0.1, 0.25, 0.5, 0.75, 0.9)), lengths.mean(), *_places(measures[:, 0], (0.5, 0.75, 0.9)), *measures.mean(axis=0)]
     row += [len(set(every)) / n, sum(len(x) / len(s) for x, s in zip(sets, sentences)) / len(sentences), text.count(",") / n, text.count(";") / n]
     shared = [len(a & b) / min(len(a), len(b)) for a, b in zip(sets, sets[1:])]
