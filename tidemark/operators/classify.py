@@ -6,8 +6,11 @@ The client is given by the caller: an object with ``classify(text) -> str``. Res
 
 from __future__ import annotations
 
+import hashlib
+import json
 import time
 from collections.abc import Callable, Iterator
+from pathlib import Path
 from typing import Protocol
 
 import pandas as pd
@@ -21,6 +24,15 @@ KEYS = ["gazette_id", "vacancy_no"]
 ANSWER = "job_family string, confidence string, secondary string"
 
 
+def checked_prompt(path: str, registry: str, version: str) -> str:
+    """A prompt's text, if its SHA-256 is the one registered for the version; else an error."""
+    text = Path(path).read_bytes()
+    known = json.loads(Path(registry).read_text()).get(version)
+    if known != hashlib.sha256(text).hexdigest():
+        raise SystemExit(f"the prompt is not the one registered as {version}")
+    return text.decode()
+
+
 class Client(Protocol):
     """What a classifier offers."""
 

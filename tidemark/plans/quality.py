@@ -13,6 +13,7 @@ from tidemark.operators import resolve as N
 from tidemark.operators import validate as V
 from tidemark.operators.linkage import copies_of
 from tidemark.operators.notices import FOOTER, LABELS, marker_count, parse_gazette
+from tidemark.plans import pipeline
 from tidemark.session import cut, ensure_checkpoint_dir
 from tidemark.sources.tables import table
 from tidemark.streaming.ingest import quarter_counts
@@ -113,6 +114,19 @@ def _rules(spark: SparkSession, d: str) -> N.Rules:
     )
 
 
+def build_inputs(spark: SparkSession, d: str) -> pipeline.Inputs:
+    """Rule tables of a folder as inputs of a build."""
+    register = table(spark, d, "agency_register")
+    portfolios = sorted(r[0] for r in register.where("portfolio is not null").select("portfolio").distinct().limit(10_000).collect())
+    groups = register.selectExpr("agency_canonical AS name", "agency_group AS grp").distinct()
+    return pipeline.Inputs(_rules(spark, d), portfolios, groups, register.where("not ps_act_employer").selectExpr("agency_canonical AS name").distinct())
+
+
+def q_release(spark: SparkSession, d: str) -> DataFrame:
+    """The whole build, from raw notices to the release."""
+    return pipeline.build(table(spark, d, RAW).drop("notice_id").distinct(), build_inputs(spark, d), {"combined": "weekly", "vacancy_only": "weekly"}, LIMITS, PROTECTED)
+
+
 def q_resolved_texts(spark: SparkSession, d: str) -> DataFrame:
     """Every printed name by the cascade of rules."""
     texts = table(spark, d, RELEASE, "agency").select(F.col("agency").alias("raw"))
