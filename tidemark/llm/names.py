@@ -109,6 +109,11 @@ def words(text: str) -> tuple[str, ...]:
     return tuple(SHORTENINGS.get(w, w.replace("'", "")) for w in found)
 
 
+def _order(rank: tuple[float, int, float, str | None]) -> tuple[float, int, float, str]:
+    """A total order of ranked entries; the name breaks what ties are left."""
+    return (*rank[:3], rank[3] or "")
+
+
 @dataclass
 class Entry:
     """One way to write a reference name."""
@@ -148,6 +153,10 @@ class Matcher:
         for piece in self.by_piece:
             for short in deletes(piece, reach(len(piece)) if len(piece) < 18 else 1):
                 self.by_delete[short].add(piece)
+        self.by_core: dict[str, list[int]] = defaultdict(list)
+        for k, entry in enumerate(self.entries):
+            if entry.core:
+                self.by_core[entry.core].append(k)
         self.longest = max(map(len, self.by_piece), default=0)
         self.parts = [(w, deletes(w, 2)) for w in PART_WORDS]
 
@@ -200,7 +209,18 @@ class Matcher:
     def best(self, text: str, most_cut: int = 5) -> tuple[float, int, float, str | None] | None:
         """The cheapest entry for a plain text: (cost, -length, -weight, target)."""
         choice = None
-        for found, extra in self.variants(text, most_cut):
+        readings = [(found, extra, [w for w in found if w not in LINKS]) for found, extra in self.variants(text, most_cut)]
+        for _, extra, content in readings:
+            for k in self.by_core.get("".join(content), ()):
+                entry = self.entries[k]
+                rank = (round(extra, 3), -len(entry.core), -entry.weight, entry.target)
+                if choice is None or _order(rank) < _order(choice):
+                    choice = rank
+        if choice and choice[0] < 0.7:  # the least cost of any edit
+            return choice
+        for found, extra, content in readings:
+            if not content:
+                continue
             votes: dict[int, int] = defaultdict(int)
             content = [w for w in found if w not in LINKS]
             if not content:
@@ -218,7 +238,7 @@ class Matcher:
                 cost = min(edit_cost(core, entry.core, most), edit_cost(full, entry.full, most))
                 if cost <= most:
                     rank = (round(cost + extra, 3), -len(entry.core), -entry.weight, entry.target)
-                    if choice is None or rank[:3] < choice[:3]:
+                    if choice is None or _order(rank) < _order(choice):
                         choice = rank
         return choice
 
@@ -278,7 +298,7 @@ class Matcher:
         if not tries:
             return UNMATCHED, -1.0
         # a joined reading that uses up more of the text beats a shorter one of like cost
-        best = min(tries, key=lambda t: (t[0] > min(x[0] for x in tries) + 0.5, t[1], t[0], t[2]))
+        best = min(tries, key=lambda t: (t[0] > min(x[0] for x in tries) + 0.5, t[1], t[0], t[2], t[3] or ""))
         return best[3] or UNMATCHED, best[0]
 
 
