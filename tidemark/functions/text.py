@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.patterns import unicode_pattern as up
 
-#: What redaction puts in place of what it finds.
+# ---------------------------------------------------------------- fixed values
+# Patterns and marks that must be these for results to agree with earlier releases of the data.
 EMAIL_MARK, PHONE_MARK, NAME_MARK = "[email redacted]", "[phone redacted]", "[name redacted]"
-EMAIL = r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}"
-#: Shapes of Australian telephone numbers, separators optional, without digit boundaries (fixed values).
+EMAIL = r"[a-zA-Z0-9._%+\-]+@[a-zA-Z0-9.\-]+\.[a-zA-Z]{2,}"
 PHONE_SHAPES = (
     r"\+61[\s\-.]?4\d{2}[\s\-.]?\d{3}[\s\-.]?\d{3}",
     r"04\d{2}[\s\-.]?\d{3}[\s\-.]?\d{3}",
@@ -20,6 +20,27 @@ PHONE_SHAPES = (
     r"1[38]00[\s\-.]?\d{3}[\s\-.]?\d{3}",
     r"13[\s\-.]?\d{2}[\s\-.]?\d{2}",
 )
+CONTACT_PHRASES = ("please contact", "contact officer", "for enquiries")
+CONTACT_NAME = r"[A-Za-z]{2,}(?:\s+[A-Za-z]{2,}){1,3}"
+DUTIES_START = r"\bDuties\s+The Role\s+|\bDuties\s+|\bAbout [Tt]he [Rr]ole\s+|(?<![a-zA-Z] )The Role\s+"
+DUTIES_END = r"\bEligibility\b"
+GRADES = ((r"Executive Level (\d)", "EL$1"), (r"APS Level (\d)", "APS$1"), (r"Senior Executive Service Band (\d)", "SES$1"), ("Graduate APS", "Graduate"))
+TITLE_PLACE, TITLE_YEAR = r"\s*-\s*[a-z][a-z ,]+(?:,\s*[a-z ]+)?$", r"^\d{4}\s*-\s*"
+ACRONYM, NAME_PUNCTUATION = r"\s*\([A-Z][A-Z0-9\-]+\)\s*", r"[',.()\-/&]"
+SENTENCE_END = r"(?<=[.!?])\s+(?=[A-Z])"
+SECTION_LABELS = r"^(?:(?:Duties(?:\s+The\s+Role)?|Eligibility|Notes)\s+)+"
+HEADING = r"^About\s+(?:the|our|us)\b"
+HEADING_NOUNS = (
+    r"(?:(?:team|role|position|department|division|branch|group|directorate|unit|agency|organisation|organization|section|office|program|programme|"
+    r"authority|commission|bureau|area|tribunal|person)s?|opportunit(?:y|ies))"
+)
+SENTENCE_STARTERS = r"(?:the|this|that|these|those|it|they|we|you|our|your|a|an)"
+FUSED_HEADING = (
+    rf"^(About\s+(?:the|our|us)\s+(?:[A-Za-z][\w'&-]*\s+){{0,3}}?{HEADING_NOUNS}(?:\s+of\s+(?:(?!{SENTENCE_STARTERS}\b)[A-Za-z][\w'&-]*)"
+    rf"(?:\s+(?!{SENTENCE_STARTERS}\b)[A-Za-z][\w'&-]*){{0,4}})?)\s*:?\s+(?=\S)"
+)
+# ---------------------------------------------------------------- end of fixed values
+
 PHONE = "|".join(PHONE_SHAPES)
 
 
@@ -67,17 +88,14 @@ def section(text: Column, start: str, end: str) -> Column:
     return or_null(F.trim(F.regexp_extract(text, up(rf"(?:{start})(.*?)(?:{end}|\z)", dot_all=True), 1)))
 
 
-DUTIES_START = r"\bDuties\s+The Role\s+|\bDuties\s+|\bAbout [Tt]he [Rr]ole\s+|(?<![a-zA-Z] )The Role\s+"
-
-
 def duties_section(text: Column) -> Column:
     """The duties of a description, without their heading."""
-    return section(text, DUTIES_START, r"\bEligibility\b")
+    return section(text, DUTIES_START, DUTIES_END)
 
 
 def short_grade(text: Column) -> Column:
     """Long names of grades as codes, in place."""
-    for long, short in ((r"Executive Level (\d)", "EL$1"), (r"APS Level (\d)", "APS$1"), (r"Senior Executive Service Band (\d)", "SES$1"), ("Graduate APS", "Graduate")):
+    for long, short in GRADES:
         text = F.regexp_replace(text, long, short)
     return or_null(F.trim(text))
 
@@ -91,14 +109,14 @@ def plain_key(text: Column) -> Column:
 def name_key(text: Column) -> Column:
     """Key of a body's name: straight quotes, no acronym in brackets, lower case, no punctuation."""
     text = F.regexp_replace(text, "[‘’]", "'")
-    text = F.regexp_replace(text, r"\s*\([A-Z][A-Z0-9\-]+\)\s*", " ")
-    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(text), r"[',.()\-/&]", " "), up(r"\s+"), " "))
+    text = F.regexp_replace(text, ACRONYM, " ")
+    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(text), NAME_PUNCTUATION, " "), up(r"\s+"), " "))
 
 
 def title_key(title: Column) -> Column:
     """Key of a title without a place at its end and a year at its start; null gives the empty text."""
-    text = F.regexp_replace(F.lower(F.coalesce(title, F.lit(""))), r"\s*-\s*[a-z][a-z ,]+(?:,\s*[a-z ]+)?$", "")
-    return plain_key(F.regexp_replace(text, r"^\d{4}\s*-\s*", ""))
+    text = F.regexp_replace(F.lower(F.coalesce(title, F.lit(""))), TITLE_PLACE, "")
+    return plain_key(F.regexp_replace(text, TITLE_YEAR, ""))
 
 
 def without_phrase(title: Column, phrase: str, target: str) -> Column:
@@ -136,7 +154,7 @@ def last_valid_object(text: Column, schema: str, field: str, allowed: list[str])
 
 
 # ---------------------------------------------------------------- redaction
-def redact_contacts(text: Column, prefixes: tuple[str, ...] = ("please contact", "contact officer", "for enquiries")) -> Column:
+def redact_contacts(text: Column, prefixes: tuple[str, ...] = CONTACT_PHRASES) -> Column:
     """E-mail addresses, telephone numbers and names after contact phrases replaced; doing it twice
     changes nothing more.
 
@@ -147,24 +165,13 @@ def redact_contacts(text: Column, prefixes: tuple[str, ...] = ("please contact",
     text = F.regexp_replace(text, EMAIL, EMAIL_MARK)
     text = F.regexp_replace(text, PHONE, PHONE_MARK)
     lead = "|".join(p.replace(" ", r"\s+") for p in prefixes)
-    spot = up(rf"((?:{lead})[\s:,–-]*)(?!officer\b)([A-Za-z]{{2,}}(?:\s+[A-Za-z]{{2,}}){{1,3}})", ignore_case=True)
+    spot = up(rf"((?:{lead})[\s:,–-]*)(?!officer\b)({CONTACT_NAME})", ignore_case=True)
     text = F.regexp_replace(text, spot, "$1\u0001$2\u0002")
     text = F.regexp_replace(text, up("\u0001[A-Z]\\w*+(?:\\s+[A-Z]\\w*+)*\u0002"), NAME_MARK)
     return F.regexp_replace(text, "[\u0001\u0002]", "")
 
 
 # ---------------------------------------------------------------- sentences
-_HEAD_NOUNS = (
-    r"(?:(?:team|role|position|department|division|branch|group|directorate|unit|agency|organi[sz]ation|section|office|program|programme|authority|"
-    r"commission|bureau|area|tribunal|person)s?|opportunit(?:y|ies))"
-)
-_STARTERS = r"(?:the|this|that|these|those|it|they|we|you|our|your|a|an)\b"
-_FUSED = (
-    rf"^(About\s+(?:the|our|us)\s+(?:[A-Za-z][\w'&-]*\s+){{0,3}}?{_HEAD_NOUNS}(?:\s+of\s+(?!{_STARTERS})[A-Za-z][\w'&-]*"
-    rf"(?:\s+(?!{_STARTERS})[A-Za-z][\w'&-]*){{0,4}})?)\s*:?\s+(?=\S)"
-)
-_LABELS = r"^(?:(?:Duties(?:\s+The\s+Role)?|Eligibility|Notes)\s+)+"
-_HEADING = r"^About\s+(?:the|our|us)\b"
 
 
 def sentences(text: Column) -> Column:
@@ -176,10 +183,10 @@ def sentences(text: Column) -> Column:
     text = F.regexp_replace(text, "\r\n?", "\n")
     # a heading is parted from what follows by the same mark that parts sentences
     lines = F.filter(F.transform(F.split(text, "\n"), lambda x: strip(x)), lambda x: x != "")
-    parts = F.flatten(F.transform(lines, lambda x: F.split(x, up(r"(?<=[.!?])\s+(?=[A-Z])"))))
-    units = F.flatten(F.transform(parts, lambda x: F.split(F.regexp_replace(strip(x), up(_FUSED, ignore_case=True), "$1\u001e"), "\u001e")))
-    kept = F.filter(units, lambda x: ~strip(x).rlike(up(_HEADING, ignore_case=True)))
-    return F.filter(F.transform(kept, lambda x: strip(F.regexp_replace(strip(x), up(_LABELS, ignore_case=True), ""))), lambda x: x != "")
+    parts = F.flatten(F.transform(lines, lambda x: F.split(x, up(SENTENCE_END))))
+    units = F.flatten(F.transform(parts, lambda x: F.split(F.regexp_replace(strip(x), up(FUSED_HEADING, ignore_case=True), "$1\u001e"), "\u001e")))
+    kept = F.filter(units, lambda x: ~strip(x).rlike(up(HEADING, ignore_case=True)))
+    return F.filter(F.transform(kept, lambda x: strip(F.regexp_replace(strip(x), up(SECTION_LABELS, ignore_case=True), ""))), lambda x: x != "")
 
 
 def simple_sentences(text: Column) -> Column:

@@ -13,23 +13,29 @@ from pyspark.sql import functions as F
 from tidemark.functions.patterns import unicode_pattern as up
 from tidemark.functions.text import or_null
 
-#: The labels of a notice, where its description ends, and what stands before the next header.
+# ---------------------------------------------------------------- fixed values
+# Labels, endings and shapes of the printed gazette, as they must be for its text to be read.
 LABELS = (
     "Job Title", "Job Type", "Location", "Salary", "Future Merit\nLocations", "Office Arrangement", "Office Arrangement\nDetails",
     "Classification", "Position Number", "Agency Website", "Job Description",
 )
 ENDINGS = ("\nTo Apply\n", "\nPosition Contact\n", "\nAgency Recruitment Site\n", "\nThis notice is part")
 FOOTER = "applicants found suitable may be offered similar employment opportunities by other Australian Public Service agencies"
-_LINK = r"(?:https?://|www\.|\S+@\S+\.\S+)\S*"
-_ANY_LINK = r"^(?:https?://|www\.|\S+@\S+\.\S+|[a-zA-Z0-9][\w.-]*\.[a-z]{2,}/)\S*\n"
-_MASTHEAD = r"Australian Public Service Gazette[\n ]PS\d+ [^\n]+\n"
-_WRAPPED = ("Job Title", "Job Description", "Office Arrangement", "Position Number", "Agency Website")
+LINK = r"(?:https?://|www\.|\S+@\S+\.\S+)\S*"
+ANY_LINK = r"^(?:https?://|www\.|\S+@\S+\.\S+|[a-zA-Z0-9][\w.-]*\.[a-z]{2,}/)\S*\n"
+MASTHEAD = r"Australian Public Service Gazette[\n ]PS\d+ [^\n]+\n"
+PAGE = r"Page \d+ of \d+\n"
+ORPHAN = r"^\d{4}\.pdf\n"
+WRAPPED = ("Job Title", "Job Description", "Office Arrangement", "Position Number", "Agency Website")
+KINDS_OF_JOB = r"\b(?:ongoing|non.?ongoing|irregular|intermittent)\b"
+GRADE_START = r"^(?:APS|EL|SES)\s*\d|^Executive Level|^Senior Executive Service"
+# ---------------------------------------------------------------- end of fixed values
 
 
 def without_page_furniture(text: Column) -> Column:
     """Page headers and footers taken out; the order matters, as one uncovers the next."""
     for pattern, by in (
-        (rf"\f{_MASTHEAD}", ""), (r"^\nPage \d+ of \d+\n", "\n"), (r"^Page \d+ of \d+\n", ""), (r"\f", ""), (r"^\d{4}\.pdf\n", ""), (rf"^{_MASTHEAD}", ""),
+        (rf"\f{MASTHEAD}", ""), (rf"^\n{PAGE}", "\n"), (rf"^{PAGE}", ""), (r"\f", ""), (ORPHAN, ""), (rf"^{MASTHEAD}", ""),
     ):
         text = F.regexp_replace(text, up(pattern, many_lines=True), by)
     return text
@@ -38,7 +44,7 @@ def without_page_furniture(text: Column) -> Column:
 def mended_labels(text: Column) -> Column:
     """Labels that wrapped over lines joined again, also round a link."""
     text = F.regexp_replace(text, up(r"\bJob\n(https?://\S+)\nDescription\n"), "Job Description\n\n$1\n\n")
-    for label in _WRAPPED:
+    for label in WRAPPED:
         text = F.regexp_replace(text, up(r"\b" + label.replace(" ", r"\n") + r"\b"), label)
     text = F.regexp_replace(text, up(r"\bFuture\nMerit\nLocations\b"), "Future Merit\nLocations")
     return F.regexp_replace(text, up(r"\bOffice\nArrangement Details\b|\bOffice Arrangement\nDetails\b"), "Office Arrangement\nDetails")
@@ -55,7 +61,7 @@ def split_notices(docs: DataFrame, row: str, text: str) -> DataFrame:
     head = F.regexp_extract("part", up(r"\A\s*Vacancy VN-[^\n]*\n(.*?)^Closing Date:", many_lines=True, dot_all=True), 1)
     own = F.exists(F.split(head, "\n"), lambda x: (F.trim(x) != "") & ~F.trim(x).startswith("http"))
     tail = F.when(F.instr("before", FOOTER) > 0, F.trim(F.substring_index("before", FOOTER, -1), F.lit(" \n\t")))
-    tail = or_null(F.trim(F.regexp_replace(tail, up(r"^\d{4}\.pdf\n", many_lines=True), ""), F.lit(" \n\t")))
+    tail = or_null(F.trim(F.regexp_replace(tail, up(ORPHAN, many_lines=True), ""), F.lit(" \n\t")))
     graft = F.regexp_replace("part", up(r"\A(\s*Vacancy VN-[^\n]*\n)"), "$1\u0001")
     graft = F.replace(graft, F.lit("\u0001"), F.concat(F.coalesce(tail, F.lit("")), F.lit("\n")))
     return parts.select(row, "pos", F.when(F.coalesce(own, F.lit(False)) | tail.isNull(), F.col("part")).otherwise(graft).alias("notice"))
@@ -72,8 +78,8 @@ def labelled(text: Column, label: str) -> Column:
 def described(text: Column) -> Column:
     """The description: what follows its label, and the first link if any, up to an ending; collapsed."""
     after = F.regexp_extract(text, up(r"^Job Description\n(.*)\z", many_lines=True, dot_all=True), 1)
-    linked = F.regexp_extract(after, up(rf"{_ANY_LINK}(.*)\z", many_lines=True, dot_all=True), 1)
-    body = F.ltrim(F.when(after.rlike(up(_ANY_LINK, many_lines=True)), linked).otherwise(after), F.lit("\n"))
+    linked = F.regexp_extract(after, up(rf"{ANY_LINK}(.*)\z", many_lines=True, dot_all=True), 1)
+    body = F.ltrim(F.when(after.rlike(up(ANY_LINK, many_lines=True)), linked).otherwise(after), F.lit("\n"))
     for ending in ENDINGS:
         body = F.substring_index(body, ending, 1)
     return or_null(F.trim(F.regexp_replace(body, up(r"\s+"), " ")))
@@ -82,7 +88,7 @@ def described(text: Column) -> Column:
 def _header(text: Column) -> Column:
     at = F.instr(text, "\nJob Title\n")
     block = F.when(at > 1, F.substring_index(text, "\nJob Title\n", 1)).otherwise(F.substring(text, 1, 500))
-    for pattern in (r"\AVacancy VN-\d+\n", r"^Closing Date:.*\n", rf"^{_LINK}\n"):
+    for pattern in (r"\AVacancy VN-\d+\n", r"^Closing Date:.*\n", rf"^{LINK}\n"):
         block = F.regexp_replace(block, up(pattern, many_lines=True), "")
     return block
 
@@ -129,10 +135,10 @@ def guarded(rows: DataFrame) -> DataFrame:
         "location": c("location").rlike(bleed),
         "classification": c("classification").isin(flat) | c("classification").rlike(r"^\d+$") | c("classification").rlike(bleed),
         "position_number": c("position_number").isin(flat) | c("position_number").rlike(bleed) | c("position_number").rlike("^https?://"),
-        "office_arrangement": c("office_arrangement").isin(flat) | c("office_arrangement").rlike(bleed) | c("office_arrangement").rlike(r"^(?:APS|EL|SES)\s*\d|^Executive Level|^Senior Executive Service"),
+        "office_arrangement": c("office_arrangement").isin(flat) | c("office_arrangement").rlike(bleed) | c("office_arrangement").rlike(GRADE_START),
         "office_arrangement_details": c("office_arrangement_details").isin(flat) | c("office_arrangement_details").rlike(bleed),
         "agency_website": c("agency_website").isin(flat) | c("agency_website").rlike(bleed) | ~c("agency_website").rlike("^https?://"),
-        "job_type": ~c("job_type").rlike(up(r"\b(?:ongoing|non.?ongoing|irregular|intermittent)\b", ignore_case=True)),
+        "job_type": ~c("job_type").rlike(up(KINDS_OF_JOB, ignore_case=True)),
     }
     return rows.withColumns({name: F.when(~condition, c(name)) for name, condition in bad.items()})
 
