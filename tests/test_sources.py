@@ -5,7 +5,7 @@ import pytest
 
 from tidemark.operators.relational import latest
 from tidemark.sources import documents, fetch, gazette, ledger, release
-from tidemark.streaming.ingest import first_seen, ingest
+from tidemark.streaming.ingest import dropped, first_seen, ingest, parse_pending
 from tests.test_operators import notice
 
 
@@ -120,3 +120,33 @@ def test_first_seen_in_stream(spark, tmp_path):
     stream = first_seen(spark.readStream.schema("k string, ts timestamp").parquet(str(tmp_path / "in")), ["k"], "ts")
     stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+
+
+def test_batch_from_the_ledger(spark):
+    manifest = spark.createDataFrame([("a", "2024-01-01", "g1", "daily", "downloaded"), ("b", "2024-01-02", "g2", "daily", "downloaded"), ("c", "2024-01-03", "g3", "daily", "downloaded")], "filename string, gazette_date string, gazette_id string, gazette_type string, status string")
+    log = spark.createDataFrame([], ledger.PARSE_LOG + ", line_no long")
+    files = spark.createDataFrame([("a", bytearray(notice(1, "Agency\n\n").encode())), ("b", bytearray(b"bad"))], "filename string, content binary")
+
+    def extract(content):
+        if content == b"bad":
+            raise RuntimeError("broken")
+        return content.decode()
+
+    rows, entries = parse_pending(manifest, log, files, extract, ["daily"])
+    assert [(r["vacancy_no"], r["gazette_id"], r["raw_vn_count"]) for r in rows.collect()] == [("VN-1", "g1", 1)]
+    assert {r["filename"]: (r["status"], r["record_count"]) for r in entries.collect()} == {"a": ("parsed", 1), "b": ("error", 0), "c": ("missing_pdf", 0)}
+    assert dropped(entries).count() == 0
+    from pyspark.sql import functions as F
+
+    again = log.unionByName(entries.withColumn("line_no", F.lit(1).cast("bigint")))
+    assert [r["filename"] for r in ledger.pending_files(manifest, again, ["daily"]).collect()] == ["b", "c"]
+    assert [r["filename"] for r in ledger.pending_files(manifest, again, ["daily"], 1).collect()] == ["b"]
+
+
+def test_manifest_after_a_round(spark):
+    schema = "gazette_date string, gazette_id string, gazette_type string, filename string, url string, status string"
+    old = spark.createDataFrame([("2024-01-02", None, "none", None, None, "not_found"), ("2024-01-03", "g", "daily", "f", "u", "downloaded")], schema)
+    found = spark.createDataFrame([("2024-01-02", "g2", "daily", "f2", "u2", "downloaded")], schema)
+    tried = spark.createDataFrame([("2024-01-02",), ("2024-01-04",)], "day string")
+    got = {(r["gazette_date"], r["status"]) for r in gazette.probed(old, found, tried).collect()}
+    assert got == {("2024-01-02", "downloaded"), ("2024-01-03", "downloaded"), ("2024-01-04", "not_found")}

@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.notices import marker_count, parse_gazette
+from tidemark.session import cut
+from tidemark.sources.documents import extracted
+from tidemark.sources.ledger import pending_files
 
 
 def file_stream(spark: SparkSession, folder: str, most: int = 100) -> DataFrame:
@@ -51,3 +54,29 @@ def quarter_counts(events: DataFrame, time: str, key: str, late: str = "28 days"
 def first_seen(events: DataFrame, keys: list[str], time: str, late: str = "28 days") -> DataFrame:
     """Each key's first event of a stream, keys being remembered for ``late``."""
     return events.withWatermark(time, late).dropDuplicatesWithinWatermark(keys)
+
+
+def parse_pending(manifest: DataFrame, log: DataFrame, files: DataFrame, extract: Callable[[bytes], str], types: list[str], most: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """One batch from the ledger: rows parsed of the files still pending, and the log rows to append.
+
+    ``files(filename, content)`` are the files at hand. A pending file that is not there is logged as
+    ``missing_pdf``, one that cannot be read as ``error``; both come up again, as only ``parsed`` settles a
+    file. Write the rows before the log: a run that stops between the two parses the files again.
+    """
+    wanted = pending_files(manifest, log, types, most)
+    have = cut(extracted(wanted.select("filename").join(files, "filename").select(F.col("filename").alias("path"), "content"), extract))
+    texts = have.where("status = 'parsed'").join(wanted.withColumnRenamed("filename", "path"), "path").select("path", "text", "gazette_id", F.col("gazette_date").cast("timestamp").alias("gazette_date"), "gazette_type")
+    rows = parse_gazette(texts, "path", "text").join(texts.select("path", "gazette_id", "gazette_date", "gazette_type", marker_count(F.col("text")).alias("raw_vn_count")), "path")
+    counts = rows.groupBy("path").agg(F.count(F.lit(1)).alias("record_count"))
+    told = wanted.select("filename", "gazette_date", "gazette_id", "gazette_type").join(have.select(F.col("path").alias("filename"), F.col("status").alias("_status"), marker_count(F.col("text")).alias("vn_count")), "filename", "left")
+    told = told.join(counts.withColumnRenamed("path", "filename"), "filename", "left")
+    entries = told.select(
+        "filename", "gazette_date", "gazette_id", "gazette_type", F.coalesce("record_count", F.lit(0)).alias("record_count"), F.coalesce("vn_count", F.lit(0)).alias("vn_count"),
+        F.coalesce("_status", F.lit("missing_pdf")).alias("status"),
+    )
+    return rows, entries
+
+
+def dropped(log: DataFrame) -> DataFrame:
+    """Files of which fewer notices were parsed than they announce."""
+    return log.where("status = 'parsed' and record_count <> vn_count").select("filename", "record_count", "vn_count")
