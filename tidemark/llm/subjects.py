@@ -35,7 +35,7 @@ class Settings:
     """``sample``: most labelled documents the model is fitted on. ``terms``: most terms kept, the most
     telling first. ``rank``: dimensions of the embedding. ``rounds``: most refinements."""
 
-    sample: int = 12_000
+    sample: int = 6_000
     terms: int = 3_000
     rank: int = 400
     rounds: int = 10
