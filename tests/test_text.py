@@ -126,3 +126,44 @@ def test_shaping(spark):
 
 def test_pattern_shapes_have_no_boundaries():
     assert re.search(T.PHONE, "90412345678")
+
+
+def plain_redaction(text):
+    """The rule for contact names, word by word."""
+    text = re.sub(T.EMAIL, T.EMAIL_MARK, text)
+    text = re.sub(T.PHONE, T.PHONE_MARK, text)
+    out, at = [], 0
+    lead = re.compile(r"(?:please\s+contact|contact\s+officer|for\s+enquiries)[\s:,–-]*", re.I)
+    while m := lead.search(text, at):
+        words, end = [], m.end()
+        if not re.match(r"officer\b", text[end:], re.I):
+            while len(words) < 4 and (w := re.compile(r"[A-Za-z]{2,}" if not words else r"\s+[A-Za-z]{2,}").match(text, end)):
+                words.append(w[0].strip())
+                end = w.end()
+        if len(words) < 2:
+            out.append(text[at : m.start() + 1])
+            at = m.start() + 1
+            continue
+        out.append(text[at : m.end()])
+        out.append(T.NAME_MARK if all(w[0].isupper() for w in words) else text[m.end() : end])
+        at = end
+    return "".join(out) + text[at:]
+
+
+def test_redaction_against_the_plain_rule(spark):
+    rng = random.Random(7)
+    words = ["please contact", "Contact Officer", "For Enquiries", "Jane", "SMITH", "de", "van", "Lee", "a@b.example", "0412 345 678", "(02)", ",", ":", "-", "on", "officer", "\n", "x"]
+    rows = [(i, " ".join(rng.choices(words, k=rng.randrange(14)))) for i in range(3000)]
+    got = {r["i"]: r["y"] for r in spark.createDataFrame(rows, "i int, x string").select("i", T.redact_contacts(F.col("x")).alias("y")).collect()}
+    assert all(got[i] == plain_redaction(x) for i, x in rows), next((x, got[i], plain_redaction(x)) for i, x in rows if got[i] != plain_redaction(x))
+
+
+def test_sentences_keep_every_word_but_headings(spark):
+    rng = random.Random(8)
+    words = ["Work", "is", "good.", "Yes!", "Really?", "we", "The", "notes", "e.g.", "\n", "\n\n", "Team"]
+    rows = [(i, " ".join(rng.choices(words, k=rng.randrange(25)))) for i in range(1000)]
+    got = {r["i"]: r["s"] for r in spark.createDataFrame(rows, "i int, x string").select("i", T.sentences(F.col("x")).alias("s")).collect()}
+    for i, x in rows:
+        want = [p.strip() for line in x.split("\n") for p in re.split(r"(?<=[.!?])\s+(?=[A-Z])", line.strip()) if p.strip()]
+        want = [re.sub(r"^(?:(?:Notes)\s+)+", "", p, flags=re.I) for p in want]
+        assert got[i] == [p for p in want if p], x

@@ -74,15 +74,13 @@ def p7_open_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (p2_found, p2_closing_dates, p2_shapes, p3_found, p3_as_known, p7_found, p7_open_cases)}
 
 #: Lineage walked by recursion, an independent way to the same rows.
-ORACLE = {
-    "p3_found": r"""
-WITH RECURSIVE e AS (
+_STANDING = r"""
+e AS (
   SELECT DISTINCT trim(regexp_replace(predecessor_canonical, '\s+', ' ', 'g')) AS old,
          trim(regexp_replace(successor_canonical, '\s+', ' ', 'g')) AS new, effective_date AS at
   FROM agency_lineage WHERE effective_date IS NOT NULL),
-n AS (SELECT DISTINCT notice_id, trim(regexp_replace(agency_canonical, '\s+', ' ', 'g')) AS name, CAST(gazette_date AS DATE) AS day
-      FROM aps_gazette_vacancies WHERE agency_canonical IS NOT NULL AND gazette_date IS NOT NULL),
-keys AS (SELECT DISTINCT name, day FROM n),
+n AS (SELECT *, trim(regexp_replace(agency_canonical, '\s+', ' ', 'g')) AS name, CAST(gazette_date AS DATE) AS day FROM aps_gazette_vacancies),
+keys AS (SELECT DISTINCT name, day FROM n WHERE name IS NOT NULL AND day IS NOT NULL),
 walk AS (
   SELECT name, day, name AS cur, 0 AS way FROM keys
   UNION
@@ -92,6 +90,12 @@ standing AS (
   SELECT name, day, cur FROM walk w
   WHERE NOT EXISTS (SELECT 1 FROM e WHERE e.old = w.cur AND e.at <= w.day)
     AND NOT EXISTS (SELECT 1 FROM e WHERE e.new = w.cur HAVING min(e.at) > w.day))
-SELECT DISTINCT n.notice_id, s.cur AS canonical_in_force
-FROM n JOIN standing s ON n.name = s.name AND n.day = s.day WHERE s.cur <> n.name""",
+"""
+ORACLE = {
+    "p3_found": f"""WITH RECURSIVE {_STANDING}
+SELECT DISTINCT n.notice_id, s.cur AS canonical_in_force FROM n JOIN standing s ON n.name = s.name AND n.day = s.day WHERE s.cur <> n.name""",
+    "p3_as_known": f"""WITH RECURSIVE {_STANDING},
+r AS (SELECT DISTINCT * FROM agency_register)
+SELECT s.cur AS canonical_in_force, n.notice_id, n.agency_canonical, n.gazette_date, n.job_title, r.short_name, r.portfolio, r.agency_group, r.ps_act_employer
+FROM n LEFT JOIN standing s ON n.name = s.name AND n.day = s.day LEFT JOIN r ON r.agency_canonical = s.cur""",
 }
