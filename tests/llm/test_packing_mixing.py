@@ -50,7 +50,7 @@ def test_shares_are_kept_window_by_window():
 
 
 def test_packing_of_nothing(spark):
-    assert K.pack(spark.createDataFrame([], ITEMS), 10).count() == 0 and K.pack(spark.createDataFrame([(1, "a", 0)], ITEMS), 10).count() == 0
+    assert K.pack(spark.createDataFrame([], ITEMS), 10).count() == 0 and K.pack(spark.createDataFrame([(1, "a", 0), (None, "a", 5), (2, "a", None)], ITEMS), 10).count() == 0
     with pytest.raises(ValueError):
         K.pack(spark.createDataFrame([], ITEMS), 0)
 

@@ -49,10 +49,10 @@ def test_long_and_odd_texts(finder):
 
 
 def test_columns(spark):
-    rows = [(1, CASES[0][0] + "\nplain", CASES[0][0]), (1, CASES[0][0] + "\nplain", CASES[0][0]), (2, None, ""), (3, "nothing here", None)]
+    rows = [(1, CASES[0][0] + "\nplain", CASES[0][0]), (1, CASES[0][0] + "\nplain", CASES[0][0]), (2, None, ""), (3, "nothing here", None), (2**60 + 1, CASES[0][0], None), (None, CASES[0][0], None)]
     df = spark.createDataFrame(rows, "doc long, a string, b string")
     got = {tuple(r) for r in P.find_personal(df, "doc", ["a", "b"]).distinct().collect()}
-    assert got == {(1, f, k, t) for f in "ab" for k, t in CASES[0][1]}
+    assert got == {(1, f, k, t) for f in "ab" for k, t in CASES[0][1]} | {(d, "a", k, t) for d in (2**60 + 1, None) for k, t in CASES[0][1]}
     clean = {r["doc"]: r["c"] for r in df.select("doc", P.redact(F.col("a")).alias("c")).collect()}
-    assert clean == {1: "Position Contact - Dr [NAME] - [PHONE]\nplain", 2: None, 3: "nothing here"}
+    assert {k: v for k, v in clean.items() if k and k < 9} == {1: "Position Contact - Dr [NAME] - [PHONE]\nplain", 2: None, 3: "nothing here"}
     assert P.find_personal(df.limit(0), "doc", ["a"]).count() == 0

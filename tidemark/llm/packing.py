@@ -25,9 +25,10 @@ _PLACED = "container string, position int, doc {doc}, source string, piece int,
 
 def pieces(items: DataFrame, capacity: int) -> DataFrame:
     """``(doc, source, piece, token_start, token_end)``: one row for each item, several where an item
-    exceeds the capacity (all but the last then fill a container each). Items without tokens give none."""
+    exceeds the capacity (all but the last then fill a container each). Items without tokens or a key give
+    none."""
     parts = F.sequence(F.lit(0), F.ceil(F.col("n_tokens") / capacity).cast("int") - 1)
-    split = items.where("n_tokens > 0").select("doc", F.coalesce("source", F.lit("")).alias("source"), "n_tokens", F.explode(parts).alias("piece"))
+    split = items.where("n_tokens > 0 and doc is not null").select("doc", F.coalesce("source", F.lit("")).alias("source"), "n_tokens", F.explode(parts).alias("piece"))
     return split.select(
         "doc", "source", "piece", (F.col("piece") * F.lit(capacity).cast("bigint")).alias("token_start"),
         F.least(F.col("n_tokens"), (F.col("piece") + 1) * F.lit(capacity).cast("bigint")).alias("token_end"),
@@ -65,7 +66,7 @@ def pack(items: DataFrame, capacity: int, shares: dict[str, float] | None = None
 
     ``shares``: target share of tokens by source; without it the sources' own shares. A null source is a
     source of its own, named by the empty text. Items are never split unless they exceed the capacity;
-    items without tokens are not placed; an item given twice is placed twice.
+    items without tokens or a key are not placed; an item given twice is placed twice.
     """
     if capacity < 1:
         raise ValueError("a container must hold something")

@@ -478,7 +478,7 @@ def find_personal(docs: DataFrame, doc: str, fields: list[str], tools: dict | No
     """``(doc, field_name, pii_type, pii_text)``: each distinct piece of a row's fields, as written.
 
     Null and empty fields give nothing; whole texts are searched, a piece never runs over a line break;
-    a row given twice gives its pieces twice.
+    a row given twice gives its pieces twice, a row without a key has a null one.
     """
     shared = docs.sparkSession.sparkContext.broadcast(tools or models())
     kind = docs.schema[doc].dataType.simpleString()
@@ -494,7 +494,9 @@ def find_personal(docs: DataFrame, doc: str, fields: list[str], tools: dict | No
                     rows.append((*key, *piece))
             yield pd.DataFrame(rows, columns=["doc", "field_name", "pii_type", "pii_text"])
 
-    return docs.select(F.col(doc).alias("__doc"), *fields).mapInPandas(search, f"doc {kind}, field_name string, pii_type string, pii_text string")
+    # keys pass through Python as text, so that nulls beside large numbers change nothing
+    found = docs.select(F.col(doc).cast("string").alias("__doc"), *fields).mapInPandas(search, "doc string, field_name string, pii_type string, pii_text string")
+    return found.withColumn("doc", F.col("doc").cast(kind))
 
 
 def redact(text: Column, tools: dict | None = None) -> Column:

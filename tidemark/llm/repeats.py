@@ -143,12 +143,12 @@ def repeated_lines(
     Returns ``(doc, source, keys)``, the candidate lines of each document, and ``(source, repeated)``,
     the keys of each source that at least ``least_docs`` documents and at least ``share`` of all its
     documents hold (distinct documents; those with a null or empty text count). Documents without a
-    source are left out. A document given twice counts once; lines repeated within one count once.
+    source or without a key are left out. A document given twice counts once; lines repeated within one count once.
 
     The chunk table is broadcast only while it has at most ``broadcast_chunks`` entries (8 bytes each);
     beyond that it is joined by source, where AQE splits a hot source.
     """
-    rows = docs.select(F.col(doc).alias("doc"), F.col(source).alias("source"), F.col(text).alias("text")).where("source is not null")
+    rows = docs.select(F.col(doc).alias("doc"), F.col(source).alias("source"), F.col(text).alias("text")).where("source is not null and doc is not null")
     totals = rows.select("doc", "source").distinct().groupBy("source").agg(F.count(F.lit(1)).alias("docs"))
     totals = totals.select("source", F.greatest(F.lit(least_docs), F.ceil(F.col("docs") * share - 1e-9)).alias("least"))
     texts = rows.where("text is not null").select("doc", "source", plain_lines(F.col("text")).alias("text"))

@@ -239,4 +239,5 @@ def assign_subjects(docs: DataFrame, doc: str, text: str, model: Model, least_li
             yield pd.DataFrame(rows, columns=["doc", "subject", "lines"])
 
     kind = docs.schema[doc].dataType.simpleString()
-    return docs.select(F.col(doc).alias("doc"), F.col(text).alias("text")).mapInPandas(assign, f"doc {kind}, subject string, lines bigint")
+    found = docs.select(F.col(doc).cast("string").alias("doc"), F.col(text).alias("text")).mapInPandas(assign, "doc string, subject string, lines bigint")
+    return found.withColumn("doc", F.col("doc").cast(kind))
