@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,7 +28,23 @@ def session(app: str = "tidemark", master: str | None = None, **conf: str) -> Sp
         builder = builder.master(master)
     for key, value in {**DEFAULTS, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship(spark)
+    return spark
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the workers, once a context, so that they need not find it on a path."""
+    context = spark.sparkContext
+    if getattr(context, "_tidemark_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    place = os.path.join(tempfile.mkdtemp(prefix="tidemark-"), "tidemark.zip")
+    with zipfile.ZipFile(place, "w") as package:
+        for file in sorted(root.rglob("*.py")):
+            package.write(file, str(Path(root.name, file.relative_to(root))))
+    context.addPyFile(place)
+    context._tidemark_shipped = True
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
