@@ -78,12 +78,10 @@ def sentences_of(text: str) -> list[list[str]]:
     return out
 
 
-def is_english(text: str, settings: Settings) -> bool:
-    """Whether a text is running English of at least the least words, counted between white space."""
-    if len(text.split()) < settings.least_words:
-        return False
-    words = _WORD.findall(text.lower())
-    return len(words) >= 10 and sum(map(FUNCTION_WORDS.__contains__, words)) >= settings.english * len(words)
+def is_english(sentences: list[list[str]], settings: Settings) -> bool:
+    """Whether sentences are running English, by the share of function words among ten words or more."""
+    size = sum(map(len, sentences))
+    return size >= 10 and sum(w in FUNCTION_WORDS for s in sentences for w in s) >= settings.english * size
 
 
 def terms(words: list[str]) -> list[str]:
@@ -214,9 +212,9 @@ class Model:
         """Level of each text; None where it is no running English of the least length."""
         rows, at = [], []
         for i, text in enumerate(texts if self.levels else []):
-            if isinstance(text, str) and is_english(text, self.settings):
+            if isinstance(text, str) and len(text.split()) >= self.settings.least_words:
                 sentences = sentences_of(text)
-                if sentences:
+                if is_english(sentences, self.settings):
                     rows.append(features(sentences, text, self.table))
                     at.append(i)
         out: list[int | None] = [None] * len(texts)
