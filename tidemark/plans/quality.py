@@ -240,6 +240,21 @@ clean AS (SELECT notice_id, nullif(coalesce(string_agg(sentence, ' ' ORDER BY po
     OR NOT EXISTS (SELECT 1 FROM audit a WHERE a.flagged AND a.key = m.key AND (a.body = '__GLOBAL__' OR a.body = m.body))), ''), '') AS clean FROM m GROUP BY 1)
 """
 _KEY = r"""trim(regexp_replace(regexp_replace(lower(regexp_replace(regexp_replace({0}, '[‘’]', '''', 'g'), '\s*\([A-Z][A-Z0-9\-]+\)\s*', ' ', 'g')), '['',.()\-/&]', ' ', 'g'), '[\s\x{{00A0}}]+', ' ', 'g'))"""
+_CASCADE = f"""k AS (SELECT raw, {_KEY.format('raw')} AS key FROM x),
+c AS (SELECT trim(agency_raw, ' ') AS raw, max(agency_canonical) AS name FROM agency_crosswalk WHERE agency_raw IS NOT NULL GROUP BY 1),
+m AS (SELECT {_KEY.format('short_name')} AS key, min(agency_canonical) AS name FROM agency_register WHERE short_name IS NOT NULL GROUP BY 1),
+g AS (SELECT DISTINCT agency_canonical AS name, {_KEY.format('agency_canonical')} AS key FROM agency_register), h AS (SELECT DISTINCT portfolio AS prefix, {_KEY.format('portfolio')} AS head FROM agency_register WHERE portfolio IS NOT NULL),
+fw AS (SELECT trim(regexp_replace(predecessor_canonical, '\\s+', ' ', 'g')) AS name, min(trim(regexp_replace(successor_canonical, '\\s+', ' ', 'g'))) AS to_name FROM agency_lineage WHERE relation = 'rename' AND effective_date IS NOT NULL GROUP BY 1),
+dd AS (SELECT k.raw, arg_max(g.name, length(g.key)) AS name FROM k JOIN g ON k.key = g.key OR starts_with(k.key, g.key || ' ') GROUP BY 1),
+p AS (SELECT k.raw, min(h.prefix) AS prefix FROM k JOIN h ON k.key = h.head OR starts_with(k.key, h.head || ' ') GROUP BY 1),
+pr AS (SELECT p.raw, p.prefix, trim(substr(k.key, length(h.head) + 1)) AS rest FROM p JOIN k ON p.raw = k.raw JOIN h ON h.prefix = p.prefix),
+aa AS (SELECT pr.raw, arg_max(g.name, length(g.key)) AS name FROM pr JOIN g ON pr.rest = g.key OR starts_with(pr.rest, g.key || ' ') GROUP BY 1),
+z AS (SELECT k.raw, k.key, c.raw IS NOT NULL AS known, c.name AS cname, m.name AS mname, coalesce(f1.to_name, dd.name) AS dname, pr.prefix, pr.rest, coalesce(f2.to_name, aa.name) AS aname,
+  k.raw IN (SELECT portfolio FROM agency_register WHERE portfolio IS NOT NULL) AS never FROM k LEFT JOIN c ON c.raw = k.raw LEFT JOIN m ON m.key = k.key LEFT JOIN dd ON dd.raw = k.raw LEFT JOIN fw f1 ON f1.name = dd.name
+  LEFT JOIN pr ON pr.raw = k.raw LEFT JOIN aa ON aa.raw = k.raw LEFT JOIN fw f2 ON f2.name = aa.name),
+y AS (SELECT *, CASE WHEN raw = '' THEN 'empty' WHEN known THEN 'crosswalk' WHEN mname IS NOT NULL THEN 'manual' WHEN dname IS NOT NULL THEN CASE WHEN {_KEY.format('dname')} = key THEN 'exact' ELSE 'prefix' END
+  WHEN never THEN 'division_required' WHEN prefix IS NOT NULL AND rest = '' THEN 'uncertain' WHEN prefix IS NOT NULL THEN CASE WHEN aname IS NOT NULL THEN 'portfolio_strip' ELSE 'uncertain_after_strip:' || prefix END ELSE 'uncertain' END AS method FROM z),
+known AS (SELECT raw, CASE WHEN method = 'crosswalk' THEN cname WHEN method = 'manual' THEN mname WHEN method IN ('exact', 'prefix') THEN dname WHEN method = 'portfolio_strip' THEN aname END AS name, method FROM y)"""
 _STRINGS = [
     "gazette_id", "gazette_type", "vacancy_no", "agency", "division", "branch", "agency_canonical", "agency_group", "job_title", "posting_group_id", "posting_kind", "job_type", "location", "location_normalised",
     "salary", "classification", "classification_code", "position_number", "closing_date_raw", "office_arrangement", "office_arrangement_details", "agency_website", "description", "description_clean",
@@ -274,22 +289,16 @@ SELECT file, vacancy_no, a AS agency, d AS division, b AS branch, nullif(trim(cl
     "q_boilerplate_stats": f"""WITH {_NOTICES}
 SELECT count(n.description) AS n_texts, count(*) FILTER (n.description IS NOT NULL AND clean IS NULL) AS n_emptied, round(sum(coalesce(length(clean), 0)) / sum(length(n.description)), 6) AS kept_share,
   round(quantile_cont(coalesce(length(clean), 0) / length(n.description), 0.5), 6) AS kept_median FROM n LEFT JOIN clean c ON n.notice_id = c.notice_id""",
-    "q_resolved_texts": f"""
-WITH x AS (SELECT DISTINCT trim(agency, ' ') AS raw FROM aps_gazette_vacancies WHERE agency IS NOT NULL), k AS (SELECT raw, {_KEY.format('raw')} AS key FROM x),
-c AS (SELECT trim(agency_raw, ' ') AS raw, max(agency_canonical) AS name FROM agency_crosswalk WHERE agency_raw IS NOT NULL GROUP BY 1),
-m AS (SELECT {_KEY.format('short_name')} AS key, min(agency_canonical) AS name FROM agency_register WHERE short_name IS NOT NULL GROUP BY 1),
-g AS (SELECT DISTINCT agency_canonical AS name, {_KEY.format('agency_canonical')} AS key FROM agency_register), h AS (SELECT DISTINCT portfolio AS prefix, {_KEY.format('portfolio')} AS head FROM agency_register WHERE portfolio IS NOT NULL),
-fw AS (SELECT trim(regexp_replace(predecessor_canonical, '\\s+', ' ', 'g')) AS name, min(trim(regexp_replace(successor_canonical, '\\s+', ' ', 'g'))) AS to_name FROM agency_lineage WHERE relation = 'rename' AND effective_date IS NOT NULL GROUP BY 1),
-dd AS (SELECT k.raw, arg_max(g.name, length(g.key)) AS name FROM k JOIN g ON k.key = g.key OR starts_with(k.key, g.key || ' ') GROUP BY 1),
-p AS (SELECT k.raw, min(h.prefix) AS prefix FROM k JOIN h ON k.key = h.head OR starts_with(k.key, h.head || ' ') GROUP BY 1),
-pr AS (SELECT p.raw, p.prefix, trim(substr(k.key, length(h.head) + 1)) AS rest FROM p JOIN k ON p.raw = k.raw JOIN h ON h.prefix = p.prefix),
-aa AS (SELECT pr.raw, arg_max(g.name, length(g.key)) AS name FROM pr JOIN g ON pr.rest = g.key OR starts_with(pr.rest, g.key || ' ') GROUP BY 1),
-z AS (SELECT k.raw, k.key, c.raw IS NOT NULL AS known, c.name AS cname, m.name AS mname, coalesce(f1.to_name, dd.name) AS dname, pr.prefix, pr.rest, coalesce(f2.to_name, aa.name) AS aname,
-  k.raw IN (SELECT portfolio FROM agency_register WHERE portfolio IS NOT NULL) AS never FROM k LEFT JOIN c ON c.raw = k.raw LEFT JOIN m ON m.key = k.key LEFT JOIN dd ON dd.raw = k.raw LEFT JOIN fw f1 ON f1.name = dd.name
-  LEFT JOIN pr ON pr.raw = k.raw LEFT JOIN aa ON aa.raw = k.raw LEFT JOIN fw f2 ON f2.name = aa.name),
-y AS (SELECT *, CASE WHEN raw = '' THEN 'empty' WHEN known THEN 'crosswalk' WHEN mname IS NOT NULL THEN 'manual' WHEN dname IS NOT NULL THEN CASE WHEN {_KEY.format('dname')} = key THEN 'exact' ELSE 'prefix' END
-  WHEN never THEN 'division_required' WHEN prefix IS NOT NULL AND rest = '' THEN 'uncertain' WHEN prefix IS NOT NULL THEN CASE WHEN aname IS NOT NULL THEN 'portfolio_strip' ELSE 'uncertain_after_strip:' || prefix END ELSE 'uncertain' END AS method FROM z)
-SELECT raw, CASE WHEN method = 'crosswalk' THEN cname WHEN method = 'manual' THEN mname WHEN method IN ('exact', 'prefix') THEN dname WHEN method = 'portfolio_strip' THEN aname END AS name, method FROM y""",
+    "q_resolved_texts": f"WITH x AS (SELECT DISTINCT trim(agency, ' ') AS raw FROM aps_gazette_vacancies WHERE agency IS NOT NULL), {_CASCADE} SELECT raw, name, method FROM known",
+    "q_resolved_rows": f"""
+WITH q AS (SELECT DISTINCT notice_id, agency, trim(coalesce(agency, ''), ' ') AS a, trim(coalesce(division, ''), ' ') AS d, trim(coalesce(branch, ''), ' ') AS b FROM aps_gazette_vacancies),
+t AS (SELECT *, trim(d || ' ' || b, ' ') AS j, CASE WHEN b <> '' AND d <> '' THEN b || ' ' || d END AS bd, CASE WHEN d <> '' THEN a || ' ' || d END AS ad FROM q),
+x AS (SELECT DISTINCT raw FROM (SELECT trim(unnest([a, j, d, b, bd, ad]), ' ') AS raw FROM t) WHERE raw <> ''), {_CASCADE},
+n AS (SELECT raw, name FROM known WHERE name IS NOT NULL), sure AS (SELECT raw, name FROM known WHERE name IS NOT NULL AND method NOT IN ('portfolio_only', 'uncertain', 'division_required')),
+o AS (SELECT t.notice_id, CASE WHEN agency LIKE '%.pdf' THEN 'file' WHEN a IN (SELECT portfolio FROM agency_register) THEN 'portfolio' ELSE 'agency' END AS way, na.name AS own,
+  coalesce(nj.name, nd.name) AS file, coalesce(nj.name, nd.name, nb.name, nbd.name, nad.name) AS part, s.name AS branch
+  FROM t LEFT JOIN n na ON na.raw = a LEFT JOIN n nj ON nj.raw = j LEFT JOIN n nd ON nd.raw = d LEFT JOIN n nb ON nb.raw = b LEFT JOIN n nbd ON nbd.raw = bd LEFT JOIN n nad ON nad.raw = ad LEFT JOIN sure s ON s.raw = b)
+SELECT notice_id, CASE WHEN way = 'file' THEN file WHEN way = 'portfolio' THEN coalesce(part, branch) ELSE own END AS canonical FROM o""",
     "q_group_label": """
 WITH g AS (SELECT agency_canonical AS name, min(agency_group) AS grp FROM agency_register WHERE agency_group <> agency_canonical GROUP BY 1)
 SELECT coalesce(grp, agency_canonical) AS agency_group, count(*) AS n FROM aps_gazette_vacancies LEFT JOIN g ON name = agency_canonical GROUP BY 1""",
