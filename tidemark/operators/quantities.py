@@ -65,7 +65,7 @@ def _parts(number: str) -> int:
 def read_amounts(text: str) -> tuple[list[tuple[int, bool, str | None]], str | None, int | None]:
     """Up to two amounts (in parts, with a thousands mark or not, with their own unit or none), the unit
     before the first, and weekly hours (in parts)."""
-    text = re.sub(r"[   ]", " ", text)
+    text = re.sub(r"[\u00a0\u2009\u202f]", " ", text)
     hours = _WEEKLY_HOURS.search(text)
     text = _GRADES.sub(" ", _ON_TOP.sub(" ", _WEEKLY_HOURS.sub(" ", text)))
     found = list(islice(_AMOUNT.finditer(text), 2))
