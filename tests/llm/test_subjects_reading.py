@@ -6,6 +6,7 @@ import pytest
 from tidemark.llm import reading as R
 from tidemark.llm import subjects as S
 from tidemark.llm.boosting import Boosted
+from tidemark.llm.sampling import sample_rows
 
 TOPICS = {
     "tides": ["tide gauges", "harbour depth charts", "sea ice edges", "reef surveys", "salt samples"], "coins": ["coin presses", "token moulds", "mint ledgers", "silver bars", "medal dies"],
@@ -93,3 +94,10 @@ def test_broken_lines_make_the_same_sentences():
     text = "The cat sat on the mat and slept. The dog ran off to the far green hill again."
     assert R.sentences_of(text) == R.sentences_of("The cat sat on the mat\nand slept. The dog ran off\nto the far green hill again.")
     assert R.sentences_of("Page 3 of 9\n1. The cat sat down\n(b) The dog & bone ran\n• It was fun to go") == [["the", "cat", "sat", "down"], ["the", "dog", "and", "bone", "ran"], ["it", "was", "fun", "to", "go"]]
+
+
+def test_samples_do_not_depend_on_layout(spark):
+    df = spark.range(20_000).selectExpr("id", "id % 7 AS v")
+    one = sample_rows(df.repartition(13), "id", 500)
+    assert len(one) == 500 and one == sample_rows(df.union(df).coalesce(1), "id", 500)[: len(one)] or {r["id"] for r in one} >= {r["id"] for r in sample_rows(df.union(df), "id", 400)}
+    assert len(sample_rows(df.limit(30), "id", 500)) == 30 and sample_rows(df.limit(0), "id", 5) == []

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.boosting import Boosted
+from tidemark.llm.sampling import sample_rows
 
 #: Frequent function words of English; their share tells running English from other languages and lists.
 FUNCTION_WORDS = set("the of and to a in is for that on it with be are as by or at this which not from an was will you if we can has have".split())
@@ -263,8 +264,8 @@ def fit(samples: list[tuple[str, int]], settings: Settings = Settings()) -> Mode
 
 def fitted(samples: DataFrame, text: str, level: str, settings: Settings = Settings()) -> Model:
     """Fit on at most ``settings.sample`` distinct graded rows, the first by a hash of the text."""
-    rows = samples.where(F.col(text).isNotNull() & F.col(level).isNotNull()).select(text, level).distinct()
-    sample = rows.orderBy(F.xxhash64(text), text).limit(settings.sample).collect()
+    rows = samples.where(F.col(text).isNotNull() & F.col(level).isNotNull()).select(text, level)
+    sample = sample_rows(rows, text, settings.sample)
     return fit([(r[0], int(r[1])) for r in sample], settings)
 
 

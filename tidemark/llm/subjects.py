@@ -22,6 +22,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.sampling import sample_rows
+
 _WORD = re.compile(r"[a-z]+")
 #: Function words; they separate nothing and break no word pair.
 STOP = set(
@@ -209,8 +211,8 @@ def fitted(labelled: DataFrame, text: str, subject: str, second: str | None, ord
     Rows with a null text or subject are left out; exact copies of a row count once.
     """
     rows = labelled.where(F.col(text).isNotNull() & F.col(subject).isNotNull())
-    rows = rows.select(text, subject, F.col(second).alias("_second") if second else F.lit(None).cast("string").alias("_second"), order).distinct()
-    sample = rows.orderBy(F.xxhash64(order), order).limit(settings.sample).collect()
+    rows = rows.select(text, subject, F.col(second).alias("_second") if second else F.lit(None).cast("string").alias("_second"), order)
+    sample = sample_rows(rows, order, settings.sample)
     docs = [(r[0], r[1], {r[1], r[2]} - {None}) for r in sample]
     held = docs[::5]
     model = fit([(t, s) for k, (t, s, _) in enumerate(docs) if k % 5], settings)
