@@ -82,7 +82,7 @@ def sentences_of(text: str) -> list[list[str]]:
 def is_english(sentences: list[list[str]], settings: Settings) -> bool:
     """Whether sentences are running English, by the share of function words among ten words or more."""
     size = sum(map(len, sentences))
-    return size >= 10 and sum(w in FUNCTION_WORDS for s in sentences for w in s) >= settings.english * size
+    return size >= 10 and sum(sum(map(FUNCTION_WORDS.__contains__, s)) for s in sentences) >= settings.english * size
 
 
 def terms(words: list[str]) -> list[str]:
@@ -92,10 +92,23 @@ def terms(words: list[str]) -> list[str]:
 
 @dataclass
 class Vocabulary:
-    """Log odds of the levels by term."""
+    """Log odds of the levels by term; ``seen`` keeps the terms of sentences met again and again."""
 
     index: dict[str, int]
     odds: np.ndarray
+    seen: dict[tuple[str, ...], list[int]] = field(default_factory=dict)
+
+    def known(self, words: list[str]) -> list[int]:
+        """Numbers of a sentence's distinct terms that have odds."""
+        key = tuple(words)
+        found = self.seen.get(key)
+        if found is None:
+            index = self.index
+            found = [index[t] for t in dict.fromkeys(terms(words)) if t in index]
+            if len(self.seen) > 50_000:
+                self.seen.clear()
+            self.seen[key] = found
+        return found
 
 
 def _grades(passages: list[list[list[str]]], levels: np.ndarray) -> Vocabulary:
@@ -183,11 +196,11 @@ def features(sentences: list[list[str]], text: str, table: Vocabulary) -> np.nda
     row += [sum(shared) / len(shared) if shared else 0.0]
     # vocabulary: each sentence's leaning to the levels, as a distribution over sentences
     kinds = table.odds.shape[1]
-    logit = np.zeros((len(sentences), kinds))
-    for i, s in enumerate(sentences):
-        known = [table.index[t] for t in dict.fromkeys(terms(s)) if t in table.index]
-        if known:
-            logit[i] = table.odds[known].sum(axis=0) * 0.5
+    known = [table.known(s) for s in sentences]
+    ids = [i for k in known for i in k]
+    owner = np.repeat(np.arange(len(sentences)), [len(k) for k in known])
+    odds = table.odds[ids] if ids else np.zeros((0, kinds))
+    logit = 0.5 * np.stack([np.bincount(owner, odds[:, k], len(sentences)) for k in range(kinds)], axis=1)
     e = np.exp(logit - logit.max(axis=1, keepdims=True))
     lean = e / e.sum(axis=1, keepdims=True)
     mean = (lengths / lengths.sum()) @ lean
