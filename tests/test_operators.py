@@ -10,6 +10,7 @@ from tidemark.operators import relational as R
 from tidemark.operators import resolve as N
 from tidemark.operators import validate as V
 from tidemark.operators.notices import FOOTER, parse_gazette
+from tidemark.plans.quality import q_mismatches
 
 D = dt.date
 
@@ -165,6 +166,19 @@ def test_checks_pass_and_fail(spark):
     assert '"release rows": 2.0' in V.print_current(bad, bounds)
 
 
+def test_mismatches_take_the_longest_start_and_three_examples(spark, tmp_path):
+    notices = [
+        (1, None, "Port Board - People Branch", "v5"), (2, None, "Port Board", "v2"), (3, None, "Port Board Annex, West", "v9"), (4, "Port Board", "Port Board - People Branch", "v1"),
+        (5, "Mint", "Port Boardroom", "v3"), (6, "Old Mint", "Mint of Coins", "v4"), (7, None, None, "v6"), (8, None, "", "v7"), (9, None, "West Port Board", "v8"),
+        (10, None, "Port Board", "v3"), (11, None, "Port Board", "v4"), (12, None, "Port Board", "v4"), (13, None, "Port Board", None),
+    ]
+    spark.createDataFrame(notices, "notice_id int, agency_canonical string, division string, vacancy_no string").write.parquet(f"{tmp_path}/aps_gazette_vacancies.parquet")
+    spark.createDataFrame([("Port Board",), ("Port Board Annex",), ("Mint",)], "agency_canonical string").write.parquet(f"{tmp_path}/agency_register.parquet")
+    spark.createDataFrame([("Old Mint ", "Mint")], "predecessor_canonical string, successor_canonical string").write.parquet(f"{tmp_path}/agency_lineage.parquet")
+    got = {(r["canonical"], r["found"]): (r["n"], r["examples"]) for r in q_mismatches(spark, str(tmp_path)).collect()}
+    assert got == {(None, "Port Board"): (6, ["v2", "v3", "v4"]), (None, "Port Board Annex"): (1, ["v9"]), ("Mint", "Port Board"): (1, ["v3"])}
+
+
 def test_expectations_have_no_defaults(tmp_path):
     with pytest.raises(OSError):
         V.load_expectations(str(tmp_path / "none.json"))

@@ -9,7 +9,7 @@ import json
 from dataclasses import dataclass
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.relational import compared, small_side
@@ -143,11 +143,13 @@ def lineage_findings(lineage: DataFrame, names: DataFrame, relations: list[str])
 
 def mismatches(rows: DataFrame, canonical: str, found: str, allowed: DataFrame, example: str) -> DataFrame:
     """Pairs of a row's name and another name found in it that are not allowed, with their count and up to
-    three examples in order. ``allowed(canonical, found)``; null matches null."""
+    three distinct ``examples``, the lowest in order. ``allowed(canonical, found)``; null matches null."""
     odd = rows.where(F.col(found).isNotNull() & ~F.col(found).eqNullSafe(F.col(canonical)))
-    pairs = odd.groupBy(F.col(canonical).alias("canonical"), F.col(found).alias("found")).agg(
-        F.count(F.lit(1)).alias("n"), F.min(example).alias("first_example")
-    )
+    odd = odd.select(F.col(canonical).alias("canonical"), F.col(found).alias("found"), F.col(example).alias("example"))
+    each = odd.groupBy("canonical", "found", "example").agg(F.count(F.lit(1)).alias("n"))
+    place = F.row_number().over(Window.partitionBy("canonical", "found").orderBy(F.col("example").asc_nulls_last()))
+    few = F.array_sort(F.collect_list(F.when(F.col("place") <= 3, F.col("example"))))
+    pairs = each.withColumn("place", place).groupBy("canonical", "found").agg(F.sum("n").alias("n"), few.alias("examples"))
     side = allowed.select(F.col("canonical").alias("_c"), F.col("found").alias("_f")).distinct()
     return pairs.join(side, pairs["canonical"].eqNullSafe(side["_c"]) & (pairs["found"] == side["_f"]), "left_anti")
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import text as T
 from tidemark.operators import boilerplate as B
+from tidemark.operators import relational as R
 from tidemark.operators import resolve as N
 from tidemark.operators import validate as V
 from tidemark.operators.linkage import copies_of
@@ -167,10 +168,11 @@ def q_validate(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_mismatches(spark: SparkSession, d: str) -> DataFrame:
-    """Notices whose division names another body than their own."""
+    """Notices whose division starts with another body's name than their own, by the longest such name."""
     rows = table(spark, d, RELEASE, "notice_id", "agency_canonical", "division", "vacancy_no").distinct()
-    names = table(spark, d, "agency_register").selectExpr("agency_canonical AS found").distinct()
-    named = rows.join(names, F.col("division") == F.col("found"), "left")
+    divisions = rows.where("division is not null").select("division").distinct()
+    starts = R.longest_start(divisions, "division", table(spark, d, "agency_register", "agency_canonical"), "agency_canonical", "found", ["division"])
+    named = rows.join(starts, "division", "left")
     allowed = table(spark, d, "agency_lineage").selectExpr("trim(predecessor_canonical) AS canonical", "trim(successor_canonical) AS found")
     return V.mismatches(named, "agency_canonical", "found", allowed, "vacancy_no")
 
