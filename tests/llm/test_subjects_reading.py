@@ -6,7 +6,7 @@ import pytest
 from tidemark.llm import reading as R
 from tidemark.llm import subjects as S
 from tidemark.llm.boosting import Boosted
-from tidemark.llm.sampling import sample_rows
+from tidemark.llm.sampling import quotas, sample_groups, sample_rows
 
 TOPICS = {
     "tides": ["tide gauges", "harbour depth charts", "sea ice edges", "reef surveys", "salt samples"], "coins": ["coin presses", "token moulds", "mint ledgers", "silver bars", "medal dies"],
@@ -50,6 +50,26 @@ def test_subject_columns(spark):
     assert S.assign_subjects(df, "id", "text", empty).count() == 0
 
 
+def test_sample_is_even_over_groups(spark):
+    assert quotas({"a": 2, "b": 900, "c": 900}, 100) == {"a": 2, "b": 49, "c": 49}
+    df = spark.range(3000).selectExpr("id", "CASE WHEN id % 1000 = 7 THEN 'rare' WHEN id % 2 = 0 THEN 'even' ELSE 'odd' END AS g")
+    one = sample_groups(df.union(df).union(spark.createDataFrame([(None, "odd"), (1, None)], "id long, g string")), "id", "g", 203)
+    assert {g: sum(r["g"] == g for r in one) for g in ("rare", "even", "odd")} == {"rare": 3, "even": 100, "odd": 100}
+    assert one == sample_groups(df.repartition(7), "id", "g", 203) and sample_groups(df.limit(0), "id", "g", 5) == []
+    with pytest.raises(ValueError, match="groups"):
+        sample_groups(df, "id", "g", 9, most_groups=2)
+
+
+def test_rare_subject_is_assigned_and_terms_count_over_all_documents(spark):
+    docs = documents(1200, 5) + [("grow bee hives\nsmoke honey combs\nKeep good order at all times", "bees")] * 2
+    labelled = spark.createDataFrame([(i, t, y) for i, (t, y) in enumerate(docs)], "doc long, text string, subject string")
+    model = S.fitted(labelled, "text", "subject", None, "doc", S.Settings(sample=200, rank=40))
+    df = spark.createDataFrame([(1, "grow bee hives\nsmoke honey combs")], "id long, text string")
+    assert [(r["subject"], r["lines"]) for r in S.assign_subjects(df, "id", "text", model).collect()] == [("bees", 2)]
+    every = labelled.select("doc", "text").union(spark.createDataFrame([(5000, "bee\nbee"), (5000, "bee\nbee"), (5001, None), (5002, "other things")], "doc long, text string"))
+    assert S.document_frequencies(every, "doc", "text", {"bee", "grow bee", "none"}) == ({"bee": 3, "grow bee": 2}, 1204)
+
+
 def test_boosting_learns_and_predicts_alike():
     rng = np.random.default_rng(0)
     x = rng.random((800, 4))

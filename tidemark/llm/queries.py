@@ -81,7 +81,7 @@ def _families(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     duties = F.split(F.col("description"), r"(?im)^\\s*Eligibility\\s*$", 2)[0]
     notices = notices.withColumn("duties", duties).drop("description")
     labelled = notices.where("job_family is not null and coalesce(job_family_confidence, 'low') <> 'low'")
-    model = fitted(labelled, "duties", "job_family", "job_family_secondary", "notice_id")
+    model = fitted(labelled, "duties", "job_family", "job_family_secondary", "notice_id", every=notices)
     return notices, assign_subjects(notices.where("job_family is null and duties is not null"), "notice_id", "duties", model)
 
 

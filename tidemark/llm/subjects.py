@@ -6,15 +6,16 @@ decomposition. Each subject starts at the mean of its seed documents; then the l
 documents are assigned by cosine similarity and the centroids moved to the lines assigned, until
 nothing changes. A document has every subject to which enough of its lines belong.
 
-The model is fitted on the driver on a bounded sample of labelled documents (``Settings.sample``) and
-is a few megabytes at any size of the corpus; every document is then assigned where it lies.
+The model is fitted on the driver on a bounded sample of labelled documents, drawn evenly by subject
+(``Settings.sample``), and is a few megabytes at any size of the corpus; in how many documents a term of
+the sample stands is counted over the whole corpus. Every document is then assigned where it lies.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.sampling import sample_rows
+from tidemark.llm.sampling import sample_groups
 
 _WORD = re.compile(r"[a-z]+")
 #: Function words; they separate nothing and break no word pair.
@@ -37,8 +38,8 @@ class Settings:
     """``sample``: most labelled documents the model is fitted on. ``terms``: most terms kept, the most
     telling first. ``rank``: dimensions of the embedding. ``rounds``: most refinements."""
 
-    sample: int = 6_000
-    terms: int = 3_000
+    sample: int = 12_000
+    terms: int = 20_000
     rank: int = 400
     rounds: int = 10
     least_docs: int = 3
@@ -78,8 +79,9 @@ class Model:
             if ids:
                 out[i] = self.vectors[ids].sum(axis=0)
                 mass[i] = self.weights[ids].sum()
-        norm = np.linalg.norm(out, axis=1, keepdims=True)
-        return out / np.where(norm > 0, norm, 1), mass
+            if mass[i] > 0 and (norm := np.linalg.norm(out[i])) > 0:
+                out[i] /= norm
+        return out, mass
 
     def assign(self, lines: list[str]) -> np.ndarray:
         """Number of the subject of each line, -1 for none."""
@@ -94,67 +96,101 @@ class Model:
         return np.where(good, first, -1)
 
 
-def fit(docs: list[tuple[str, str]], settings: Settings = Settings()) -> Model:
-    """Fit on ``(text, subject)`` pairs. Without any pair the model knows no term and assigns nothing."""
+def document_frequencies(docs: DataFrame, doc: str, text: str, terms: set[str]) -> tuple[dict[str, int], int]:
+    """In how many documents each of ``terms`` stands, and how many documents there are.
+
+    Every distinct document is counted once. Workers count by batch, so a row for each term and batch is
+    summed and one for each term reaches the driver.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(terms)
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        wanted, seen = shared.value, Counter({"": 0})
+        cached: dict[str, list[str]] = {}
+        for batch in batches:
+            for value in batch["text"]:
+                found: set[str] = set()
+                for line in lines_of(value):
+                    if line not in cached:
+                        if len(cached) >= 100_000:
+                            cached.clear()
+                        cached[line] = [t for t in terms_of(line) if t in wanted]
+                    found.update(cached[line])
+                seen.update(found)
+                seen[""] += 1  # no term is empty
+        yield pd.DataFrame(list(seen.items()), columns=["term", "n"])
+
+    distinct = docs.where(F.col(text).isNotNull()).select(F.col(doc), F.col(text).alias("text")).distinct().select("text")
+    sums = distinct.mapInPandas(count, "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
+    found = {r["term"]: r["n"] for r in sums.collect()}  # at most as many rows as terms
+    return found, found.pop("", 0)
+
+
+def fit(docs: list[tuple[str, str]], settings: Settings = Settings(), corpus: Callable[[set[str]], tuple[dict[str, int], int]] | None = None) -> Model:
+    """Fit on ``(text, subject)`` pairs. Without any pair the model knows no term and assigns nothing.
+
+    Terms of at least ``settings.least_docs`` documents count, and all terms of a subject with fewer
+    documents. ``corpus`` gives, for a set of terms, documents by term and documents in all, for the
+    inverse document frequency; without it those of the pairs are taken."""
     subjects = sorted({s for _, s in docs})
     number = {s: i for i, s in enumerate(subjects)}
-    seen: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(len(subjects)))
+    sizes = np.bincount([number[s] for _, s in docs], minlength=len(subjects)).astype(float)
+    numbers: dict[str, int] = {}  # terms are held once, documents as arrays of their numbers
     per_doc = []
-    sizes = np.zeros(len(subjects))
-    for text, subject in docs:
-        found = sorted({t for line in lines_of(text) for t in terms_of(line)})
-        per_doc.append(found)
-        sizes[number[subject]] += 1
-        for t in found:
-            seen[t][number[subject]] += 1
-    seen = {t: c for t, c in seen.items() if c.sum() >= settings.least_docs}
-    if not seen:
+    for text, _ in docs:
+        found = {t for line in lines_of(text) for t in terms_of(line)}
+        per_doc.append(np.array(sorted(numbers.setdefault(t, len(numbers)) for t in found), dtype=np.int32))
+    counts = np.zeros((len(numbers), len(subjects)))
+    for found, (_, subject) in zip(per_doc, docs):
+        counts[found, number[subject]] += 1
+    enough = (counts.sum(axis=1) >= settings.least_docs) | (counts[:, sizes < settings.least_docs] > 0).any(axis=1)
+    names = sorted(t for t, k in numbers.items() if enough[k])
+    if not names:
         return Model(subjects, {}, np.zeros((0, 1), np.float32), np.zeros(0, np.float32), np.zeros((len(subjects), 1), np.float32))
-    names = sorted(seen)
-    counts = np.array([seen[t] for t in names])
+    counts = counts[[numbers[t] for t in names]]
     # how far the subjects of a term are from the subjects at large, shrunk where a term is rare
     prior = sizes / sizes.sum()
     share = (counts + 2 * prior) / (counts.sum(axis=1, keepdims=True) + 2) / prior
     share = share / share.sum(axis=1, keepdims=True)
     telling = 1 + (share * np.log(share)).sum(axis=1) / np.log(max(2, len(subjects)))
-    idf = np.log((1 + len(docs)) / (1 + counts.sum(axis=1)))
+    everywhere, n_docs = corpus(set(names)) if corpus else (dict(zip(names, counts.sum(axis=1))), len(docs))
+    idf = np.log((1 + n_docs) / (1 + np.array([everywhere.get(t, 0) for t in names])))
     weight = np.where(telling > 0.25, telling * idf, 0)
     keep = np.argsort(-weight * np.log1p(counts.sum(axis=1)), kind="stable")[: settings.terms]
     keep = np.sort(keep[weight[keep] > 0])
     index = {names[k]: i for i, k in enumerate(keep)}
     weight = weight[keep]
 
-    # truncated SVD by subspace iteration on the term-by-term matrix
+    # truncated SVD by subspace iteration on the document-by-term matrix
     size = len(index)
-    gram = np.zeros((size, size), dtype=np.float32)
-    for found in per_doc:
-        ids = np.array([index[t] for t in found if t in index], dtype=int)
-        if len(ids):
-            w = weight[ids] / np.linalg.norm(weight[ids])
-            gram[np.ix_(ids, ids)] += np.outer(w, w).astype(np.float32)
+    place = np.full(len(numbers), -1, dtype=np.int32)
+    place[[numbers[t] for t in index]] = list(index.values())
+    of_doc = [ids[ids >= 0] for ids in (place[found] for found in per_doc)]
+    of_doc = [ids for ids in of_doc if len(ids)]
+    entries = np.concatenate([(weight[ids] / np.linalg.norm(weight[ids])).astype(np.float32) for ids in of_doc] or [np.zeros(0, np.float32)])
+    term = np.concatenate(of_doc or [np.zeros(0, np.int32)])
+    row = np.repeat(np.arange(len(of_doc), dtype=np.int32), [len(ids) for ids in of_doc])
+    by_term = np.argsort(term, kind="stable")
     rank = min(settings.rank, size)
     basis = np.linalg.qr(np.random.default_rng(7).standard_normal((size, rank)).astype(np.float32))[0]
     for _ in range(6):
-        basis = np.linalg.qr(gram @ basis)[0]
+        left = _summed(row, term, entries, basis, len(of_doc))
+        basis = np.linalg.qr(_summed(term[by_term], row[by_term], entries[by_term], left, size))[0]
+    del per_doc, of_doc, entries, term, row, by_term, left
     vectors = (weight[:, None] * basis).astype(np.float32)
 
     model = Model(subjects, index, vectors, weight.astype(np.float32), np.zeros((len(subjects), rank), np.float32))
-    bags: list[Counter] = [Counter() for _ in subjects]
-    lines: Counter = Counter()
-    label: dict[str, Counter] = defaultdict(Counter)
+    lines: dict[str, int] = {}
+    pairs: Counter = Counter()
     for text, subject in docs:
-        for line in lines_of(text):
-            lines[line] += 1
-            label[line][number[subject]] += 1
-        bags[number[subject]].update(x for x in lines_of(text))
+        pairs.update((lines.setdefault(line, len(lines)), number[subject]) for line in lines_of(text))
     every = list(lines)
     embedded, mass = model.embed(every)
-    often = np.array([lines[x] for x in every], dtype=np.float32)
     seeds = np.zeros((len(every), len(subjects)), dtype=np.float32)
-    for i, line in enumerate(every):
-        for s, n in label[line].items():
-            seeds[i, s] = n
-    model.centroids = _unit((seeds.T / np.maximum(sizes[:, None], 1)) @ embedded)
+    for (i, k), n in pairs.items():
+        seeds[i, k] = n
+    often = seeds.sum(axis=1)
+    model.centroids = _unit((seeds.T / np.maximum(sizes[:, None], 1)).astype(np.float32) @ embedded)
     before = None
     for _ in range(settings.rounds):
         near = embedded @ model.centroids.T
@@ -166,10 +202,21 @@ def fit(docs: list[tuple[str, str]], settings: Settings = Settings()) -> Model:
         for s in range(len(subjects)):
             mine = strong & (first == s)
             if mine.any():  # the seeds keep a part of the say
-                model.centroids[s] = _unit(((often[mine, None] * embedded[mine]).sum(axis=0) + 0.2 * often[mine].sum() * model.centroids[s])[None])[0]
+                model.centroids[s] = _unit((np.where(mine, often, 0) @ embedded + 0.2 * often[mine].sum() * model.centroids[s])[None])[0]
     return model
 
 
+def _summed(into: np.ndarray, of: np.ndarray, entries: np.ndarray, x: np.ndarray, size: int, chunk: int = 4_000) -> np.ndarray:
+    """``entries`` times rows ``of`` of ``x``, summed by ``into`` (ascending): a sparse product that never
+    holds more than ``chunk`` rows beside its result."""
+    out = np.zeros((size, x.shape[1]), dtype=np.float32)
+    for a in range(0, len(into), chunk):
+        part = into[a : a + chunk]
+        starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+        out[part[starts]] += np.add.reduceat(entries[a : a + chunk, None] * x[of[a : a + chunk]], starts, axis=0)
+    return out
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
     norm = np.linalg.norm(x, axis=1, keepdims=True)
     return (x / np.where(norm > 0, norm, 1)).astype(np.float32)
@@ -178,7 +225,7 @@ def _unit(x: np.ndarray) -> np.ndarray:
 def calibrate(model: Model, docs: list[tuple[str, set[str]]], least_lines: int) -> Model:
     """Set the bars where the subjects found on documents not fitted on agree best with the known ones."""
     best = (-1.0, model.bar, model.margin, model.mass)
-    if not model.index or len(model.subjects) < 2:
+    if not docs or not model.index or len(model.subjects) < 2:
         return model
     cached = []
     for text, known in docs:
@@ -205,18 +252,29 @@ def calibrate(model: Model, docs: list[tuple[str, set[str]]], least_lines: int)
     return model
 
 
-def fitted(labelled: DataFrame, text: str, subject: str, second: str | None, order: str, settings: Settings = Settings(), least_lines: int = 2) -> Model:
-    """Fit and calibrate on at most ``settings.sample`` labelled rows, the first by a hash of ``order``.
+def fitted(
+    labelled: DataFrame, text: str, subject: str, second: str | None, order: str, settings: Settings = Settings(), least_lines: int = 2, every: DataFrame | None = None
+) -> Model:
+    """Fit and calibrate on at most ``settings.sample`` labelled rows, of each subject the first by a hash
+    of ``order``; every fifth row of a subject is kept for calibration.
 
-    Rows with a null text or subject are left out; exact copies of a row count once.
+    ``every``: all documents, labelled or not, over which document frequencies are counted (without it
+    the labelled ones). Rows with a null text or subject are left out; exact copies of a row count once.
     """
     rows = labelled.where(F.col(text).isNotNull() & F.col(subject).isNotNull())
     rows = rows.select(text, subject, F.col(second).alias("_second") if second else F.lit(None).cast("string").alias("_second"), order)
-    sample = sample_rows(rows, order, settings.sample)
-    docs = [(r[0], r[1], {r[1], r[2]} - {None}) for r in sample]
-    held = docs[::5]
-    model = fit([(t, s) for k, (t, s, _) in enumerate(docs) if k % 5], settings)
-    return calibrate(model, [(t, known) for t, _, known in held], least_lines)
+    sample = sample_groups(rows, order, subject, settings.sample)
+    docs, held, place = [], [], Counter()
+    for r in sample:
+        place[r[1]] += 1
+        if place[r[1]] % 5:
+            docs.append((r[0], r[1]))
+        else:
+            held.append((r[0], {r[1], r[2]} - {None}))
+    if not docs:
+        return fit(docs, settings)
+    everywhere = rows if every is None else every
+    return calibrate(fit(docs, settings, lambda terms: document_frequencies(everywhere, order, text, terms)), held, least_lines)
 
 
 def assign_subjects(docs: DataFrame, doc: str, text: str, model: Model, least_lines: int = 2) -> DataFrame:
