@@ -27,6 +27,14 @@ def test_lines(finder, line, want):
     assert {(k, line[a:b]) for a, b, k in finder([line])[0]} == want
 
 
+def test_names_of_common_words_are_proposed_and_can_be_found(finder):
+    for name in ("Emily House", "Vic Orrova", "Li Po", "Anna Call", "Prize, Tom"):
+        line = f"Ask {name} for the pack."
+        assert name in {line[x.start : x.end] for x in P.propose(line) if x.kind == "NAME"}
+    for line, name in (("Contact Officer: Emily House, 0855500697", "Emily House"), ("Contact Vic Orrova on 0855500697", "Vic Orrova")):
+        assert ("NAME", name) in {(k, line[a:b]) for a, b, k in finder([line])[0]}
+
+
 def test_held_out_lines(finder):
     maker, hit, extra, missed = P.Maker(4242), Counter(), Counter(), Counter()
     for _ in range(1500):

@@ -67,7 +67,7 @@ _BEFORE = {
     "supervisor", "delegate", "email", "see", "ask", "for", "thank", "thanks", "regards", "held",
 }
 _AFTER = {"on", "at", "via", "during", "who", "and", "welcomes", "is", "was", "acting", "director", "by", "tel", "phone", "email", "has", "will", "can", "in", "manager", "after", "before"}
-#: Words that are no part of a person's name.
+#: Words that are rarely part of a person's name: features, as some are surnames too.
 _NEVER = set(
     "contact officer position panel chair ring please enquiries call thanks acting director department office agency bureau authority commission council tribunal panel board "
     "service institute museum archive observatory branch division section group directorate unit team act street road avenue terrace drive parade lane way place court creek bay "
@@ -75,8 +75,6 @@ _NEVER = set(
     "tag subscribe follow late applications our quote post this the your we a an position number abn tfn medicare ags precinct river bridge centre park school hospital university prize award foundation medal "
     "library theory method principle law reef mountain lake regulations award lecture building house wing hall room campus nsw vic qld sa wa tas nt".split()
 )
-#: Those of them that are no surname either; spans holding one are not proposed.
-_HARD = _NEVER - set("act street road lane way place court creek bay flat vale port upper lower north south east west new old mill hill box lot river bridge park hall school church lake reef wing room page law wa sa nt former current a an".split())
 _DIGIT, _UPPER = re.compile(r"\d"), re.compile(r"[A-ZÀ-ÖØ-Þ]")
 #: What a line must hold for any generator to propose something.
 _TRIGGER = re.compile(r"@|\d(?:\D{0,3}\d){4}|\d.{0,12}[A-ZÀ-Þ]|\bbox\b|\bbag\b|(?i:\bdot\b|[(\[]\s?at\s?[)\]]|\bat\s\S+\.\w)|[A-ZÀ-Þ][\w’'.-]*,?\s+(?:[a-z]{1,3}\s+){0,2}[A-ZÀ-Þ]", re.UNICODE)
@@ -109,7 +107,7 @@ def _name_spans(line: str) -> Iterator[Span]:
         word = tokens[i][2]
         if not (name_like(i) or re.fullmatch(_PARTICLE, word)):
             continue
-        if word.rstrip(".").lower() in _TITLES or word.rstrip(".").lower() in _HARD:
+        if word.rstrip(".").lower() in _TITLES:
             continue
         real = commas = particles = 0
         for j in range(i, min(n, i + 6)):
@@ -128,8 +126,7 @@ def _name_spans(line: str) -> Iterator[Span]:
                 if particles > 2:
                     break
                 continue
-            low = word.rstrip(".").lower()
-            if not name_like(j) or low in _TITLES or low in _HARD:
+            if not name_like(j) or word.rstrip(".").lower() in _TITLES:
                 break
             real += 1
             if real > 4:
