@@ -35,6 +35,17 @@ def test_open_case_is_flagged():
     assert found[4] is False
 
 
+@pytest.mark.parametrize(("text", "want"), [
+    ("$80,000 - $85,000 - $90,000", (80000, 90000)), ("$95,000 - $99,000 or $80,000 - $85,000", (80000, 99000)), ("$80k - $85 - $90k", (80000, 90000)), ("$80,000 - $85,000, room 7", (80000, 85000)),
+])
+def test_more_than_two_amounts_give_least_and_greatest(text, want):
+    assert solve(*read_amounts(text)[:2], None, None, YEAR, 0.05)[:2] == want
+
+
+def test_many_amounts_are_flagged():
+    assert solve(*read_amounts(" - ".join(f"${n},000" for n in range(80, 120)))[:2], None, None, YEAR, 0.05)[:5:4] == (80000, False)
+
+
 def test_missing_unit_table_gives_nothing():
     assert solve(read_amounts("$5 a day")[0], None, None, None, {}, 0.05) is None
 

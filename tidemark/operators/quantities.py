@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
-from itertools import islice
+from itertools import product
 
 import numpy as np
 import pandas as pd
@@ -49,6 +49,8 @@ UNIT_LINE = (
 )
 #: Amounts are counted in this part of a dollar, times in the same part of one.
 _PART = 10_000
+#: Most amounts of one text whose open scales are all tried together.
+_MOST_OPEN = 8
 
 
 def unit_of(text: str) -> str | None:
@@ -63,12 +65,12 @@ def _parts(number: str) -> int:
 
 
 def read_amounts(text: str) -> tuple[list[tuple[int, bool, str | None]], str | None, int | None]:
-    """Up to two amounts (in parts, with a thousands mark or not, with their own unit or none), the unit
+    """The first two amounts and later ones marked by a dollar sign (in parts, with a thousands mark or not, with their own unit or none), the unit
     before the first, and weekly hours (in parts)."""
     text = re.sub(r"[\u00a0\u2009\u202f]", " ", text)
     hours = _WEEKLY_HOURS.search(text)
     text = _GRADES.sub(" ", _ON_TOP.sub(" ", _WEEKLY_HOURS.sub(" ", text)))
-    found = list(islice(_AMOUNT.finditer(text), 2))
+    found = [m for k, m in enumerate(_AMOUNT.finditer(text)) if k < 2 or text[: m.start()].rstrip().endswith("$")]
     if any(len(m[1]) > 15 for m in found):
         return [], None, None  # no amount has so many digits
     amounts = [(_parts(m[1]), bool(m[2]), unit_of(m[3])) for m in found]
@@ -79,7 +81,10 @@ def solve(
     amounts: list[tuple[int, bool, str | None]], head: str | None, described: str | None, hours: int | None,
     per_year: dict[str, int], tolerance: float,
 ) -> tuple[int, int, str, float, bool] | None:
-    """The combination of units and scales with the smallest residual: low, high, unit, residual, unique."""
+    """The combination of units and scales with the smallest residual: low, high, unit, residual, unique.
+
+    Of more than two amounts the least and the greatest are the ends; of more than ``_MOST_OPEN`` the
+    scales are taken as printed and the row counts as not unique."""
     if not amounts or min(a[0] for a in amounts) <= 0:
         return None
     default = head or next((u for *_, u in amounts if u), None) or described or "year"
@@ -95,12 +100,15 @@ def solve(
             return None
         scales = (1000,) if mark else (1, 1000) if marks else (1,)
         ends.append([((value * scale * by + _PART * _PART // 2) // (_PART * _PART), value * scale * by, unit) for scale in scales])
+    many = len(ends) > _MOST_OPEN
+    if many:
+        ends = [e[:1] for e in ends]
     options = []
-    for first in ends[0]:
-        for last in ends[-1] if len(ends) > 1 else [first]:
-            options.append((abs(float(np.log(last[1] / first[1]))), first[0], last[0], first[2]))
+    for chosen in product(*ends):
+        first, last = (chosen[0], chosen[-1]) if len(chosen) < 3 else (min(chosen, key=lambda e: e[1]), max(chosen, key=lambda e: e[1]))
+        options.append((abs(float(np.log(last[1] / first[1]))), first[0], last[0], chosen[0][2]))
     residual, a, b, unit = min(options)
-    unique = not any(r <= residual + tolerance and (x, y) != (a, b) for r, x, y, _ in options)
+    unique = not many and not any(r <= residual + tolerance and (x, y) != (a, b) for r, x, y, _ in options)
     return min(a, b), max(a, b), unit, residual, unique
 
 
