@@ -6,6 +6,7 @@ import pytest
 
 from tidemark.llm import mixing as M
 from tidemark.llm import packing as K
+from tidemark.llm import queries as Q
 from tidemark.llm.tokens import TOKENIZER, counter, with_token_counts
 
 ITEMS = "doc long, source string, n_tokens long"
@@ -49,6 +50,28 @@ def test_shares_are_kept_window_by_window():
     assert sum(seen.values()) == sum(total.values()) and max(off[:-1]) < 120
 
 
+def test_report_tells_deviation_from_targets(spark):
+    rows = [("c1", "a", 0, 6), ("c1", "b", 0, 2), ("c2", "a", 0, 8)]
+    placed = spark.createDataFrame(rows, "container string, source string, token_start long, token_end long")
+    got = K.fill_report(placed, 8, {"a": 0.5, "b": 0.5}).first()
+    assert (got["mean_deviation"], got["largest_deviation"]) == (0.375, 0.5)
+    got = K.fill_report(placed, 8).first()  # overall shares 7/8 and 1/8
+    assert (got["mean_deviation"], got["largest_deviation"]) == (0.125, 0.125)
+
+
+def test_full_pieces_count_in_the_mixture(spark):
+    # a's two full pieces use up what a is owed, so b goes first in the windows left
+    df = spark.createDataFrame([(1, "a", 200)] + [(i, s, 10) for i, s in enumerate("abababab", 10)], "doc long, source string, n_tokens long")
+    placed = K.pack(df, 100, {"a": 0.5, "b": 0.5}).orderBy("position").where("token_end = 10").collect()
+    assert [r["source"] for r in placed[:4]].count("b") >= 3
+
+
+def test_too_many_kinds_of_containers_are_an_error(spark, tmp_path):
+    spark.range(101).selectExpr("concat('k', id) AS container_kind", "int(id + 1) AS capacity_tokens").write.parquet(f"{tmp_path}/container_sizes.parquet")
+    with pytest.raises(ValueError, match="kinds"):
+        Q._containers(spark, str(tmp_path))
+
+
 def test_packing_of_nothing(spark):
     assert K.pack(spark.createDataFrame([], ITEMS), 10).count() == 0 and K.pack(spark.createDataFrame([(1, "a", 0), (None, "a", 5), (2, "a", None)], ITEMS), 10).count() == 0
     with pytest.raises(ValueError):

@@ -76,23 +76,27 @@ def pack(items: DataFrame, capacity: int, shares: dict[str, float] | None = None
         F.concat_ws("-", F.lit("f"), F.col("doc").cast("string"), F.col("piece").cast("string")).alias("container"), F.lit(0).alias("position"), "doc", "source", "piece", "token_start", "token_end"
     )
     open_ = rows.where(size < capacity)
-    by_source = {r["source"]: r["n"] for r in open_.groupBy("source").agg(F.sum(size).alias("n")).limit(100_001).collect()}
+    by_source = {r["source"]: r["n"] for r in rows.groupBy("source").agg(F.sum(size).alias("n")).limit(100_001).collect()}
     if len(by_source) > 100_000:
         raise ValueError("more than 100,000 sources")
     total = sum(by_source.values())
-    shards = max(1, math.ceil(total / shard_tokens))
+    loose = open_.agg(F.sum(size)).first()[0] or 0
+    shards = max(1, math.ceil(loose / shard_tokens))
     shares = shares or {s: n / total for s, n in by_source.items()}
-    open_ = open_.withColumn("shard", F.pmod(F.xxhash64("doc", "piece"), F.lit(shards)).cast("int"))
+    shard = F.pmod(F.xxhash64("doc", "piece"), F.lit(shards)).cast("int").alias("shard")
+    open_ = open_.select("*", shard)
 
-    # what each source is owed when a shard begins: target share of all tokens before it, less its own
-    narrow = open_.groupBy("shard", "source").agg(F.sum(size).alias("n"))
+    # what each source is owed when a shard begins: target share of all tokens before it and of the full
+    # pieces of the shard itself, less its own
+    narrow = rows.groupBy(shard, "source").agg(F.sum(size).alias("n"), F.sum(F.when(size == capacity, size).otherwise(0)).alias("n_full"))
     before = Window.partitionBy("source").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     spark = items.sparkSession
     named = F.array(*[F.struct(F.lit(s).alias("source"), F.lit(float(shares.get(s, 0.0))).alias("share")) for s in sorted({*by_source, *shares}) or [""]])
     grid = spark.range(shards).select(F.col("id").cast("int").alias("shard"), F.inline(named))
-    sums = grid.join(narrow, ["shard", "source"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    sums = sums.withColumn("shard_n", F.sum("n").over(Window.partitionBy("shard")))
-    owed = sums.select("shard", "source", "share", F.coalesce(F.sum(F.col("share") * F.col("shard_n") - F.col("n")).over(before), F.lit(0.0)).alias("owed"))
+    sums = grid.join(narrow, ["shard", "source"], "left").withColumns({c: F.coalesce(c, F.lit(0)) for c in ("n", "n_full")})
+    sums = sums.withColumns({f"shard_{c}": F.sum(c).over(Window.partitionBy("shard")) for c in ("n", "n_full")})
+    earlier = F.coalesce(F.sum(F.col("share") * F.col("shard_n") - F.col("n")).over(before), F.lit(0.0))
+    owed = sums.select("shard", "source", "share", (earlier + F.col("share") * F.col("shard_n_full") - F.col("n_full")).alias("owed"))
 
     def place(items: pd.DataFrame, owed: pd.DataFrame) -> pd.DataFrame:
         if not len(items):
@@ -120,12 +124,25 @@ def pack(items: DataFrame, capacity: int, shares: dict[str, float] | None = None
     return placed.unionByName(full)
 
 
-def fill_report(placed: DataFrame, capacity: int) -> DataFrame:
-    """One row: containers, tokens, filled share, the least number of containers possible and the largest
-    mean absolute deviation of a container's source shares from the overall shares."""
+def fill_report(placed: DataFrame, capacity: int, shares: dict[str, float] | None = None) -> DataFrame:
+    """One row: containers, tokens, filled share, the least number of containers possible, and the mean and
+    largest deviation of a container, which is the mean over sources of the absolute difference between
+    its share of tokens and the target. ``shares``: the targets; without it the overall shares."""
     each = placed.groupBy("container", "source").agg(F.sum(F.col("token_end") - F.col("token_start")).alias("n"))
-    used = each.groupBy("container").agg(F.sum("n").alias("n"))
+    spark = placed.sparkSession
+    if shares is None:
+        overall = each.groupBy("source").agg(F.sum("n").alias("n"))
+        targets = overall.crossJoin(F.broadcast(overall.agg(F.sum("n").alias("total")))).select("source", (F.col("n") / F.col("total")).alias("target"))
+    else:
+        targets = spark.createDataFrame(list(shares.items()) or [("", 0.0)], "source string, target double")
+    # a source that a container lacks deviates by its target: all targets at first, corrected for those it has
+    totals = targets.agg(F.sum("target").alias("targets"), F.greatest(F.count(F.lit(1)), F.lit(1)).alias("sources"))
+    sized = each.join(each.groupBy("container").agg(F.sum("n").alias("all")), "container").join(targets, "source", "left")
+    target = F.coalesce("target", F.lit(0.0))
+    used = sized.groupBy("container").agg(F.sum("n").alias("n"), F.sum(F.abs(F.col("n") / F.col("all") - target) - target).alias("off"))
+    used = used.crossJoin(F.broadcast(totals)).withColumn("deviation", (F.col("off") + F.col("targets")) / F.col("sources"))
     return used.agg(
         F.count(F.lit(1)).alias("containers"), F.sum("n").alias("tokens"), F.max("n").alias("fullest"),
         F.round(F.sum("n") / (F.count(F.lit(1)) * capacity), 6).alias("filled"), F.ceil(F.sum("n") / capacity).alias("least_containers"),
+        F.round(F.avg("deviation"), 6).alias("mean_deviation"), F.round(F.max("deviation"), 6).alias("largest_deviation"),
     )

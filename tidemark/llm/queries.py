@@ -107,7 +107,10 @@ def _sized(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _containers(spark: SparkSession, sf_dir: str) -> list[tuple[str, int, DataFrame]]:
-    kinds = table(spark, sf_dir, "container_sizes").where("capacity_tokens > 0").distinct().orderBy("capacity_tokens").limit(100).collect()
+    kinds = table(spark, sf_dir, "container_sizes").where("capacity_tokens > 0").distinct().limit(101).collect()
+    if len(kinds) > 100:
+        raise ValueError("more than 100 kinds of containers")
+    kinds.sort(key=lambda k: k["capacity_tokens"])
     items = _sized(spark, sf_dir)
     return [(k["container_kind"], k["capacity_tokens"], packing.pack(items, k["capacity_tokens"])) for k in kinds]
 
