@@ -88,6 +88,16 @@ def samples(folder):
     return list(zip(table["text"], table["reading_level"]))
 
 
+def test_validation_by_source_holds_whole_sources_out(samples):
+    few = sorted(samples)[:150]
+    model = R.fit(few, groups=[f"s{i % 3}" for i in range(len(few))])
+    assert set(model.by_group) == {"s0", "s1", "s2"} and min(model.by_group.values()) > 0.8
+    sizes = [sum(i % 3 == k for i in range(len(few))) for k in range(3)]
+    assert np.isclose(np.average([model.by_group[f"s{k}"] for k in range(3)], weights=sizes), model.agreement)
+    with pytest.raises(ValueError, match="two sources"):
+        R.fit(few, groups=["one"] * len(few))
+
+
 def test_levels_of_held_out_passages(samples):
     rng = random.Random(1)
     rng.shuffle(samples)

@@ -213,7 +213,8 @@ def features(sentences: list[list[str]], text: str, table: Vocabulary) -> np.nda
 
 @dataclass
 class Model:
-    """Trees, the cut points between levels, the vocabulary table and the out-of-fold agreement."""
+    """Trees, the cut points between levels, the vocabulary table and the out-of-fold agreement, in all and
+    by source where sources were given."""
 
     levels: list[int]
     trees: Boosted
@@ -221,6 +222,7 @@ class Model:
     table: Vocabulary | None
     agreement: float = 0.0
     settings: Settings = field(default_factory=Settings)
+    by_group: dict[str, float] = field(default_factory=dict)
 
     def grade(self, texts: list[str | None]) -> list[int | None]:
         """Level of each text; None where it is no running English of the least length."""
@@ -249,17 +251,28 @@ def _cut_points(score: np.ndarray, levels: np.ndarray, kinds: list[int]) -> list
     return list(np.maximum.accumulate(cuts))
 
 
-def fit(samples: list[tuple[str, int]], settings: Settings = Settings()) -> Model:
-    """Fit on graded passages of two levels at least (else no text gets a level); vocabulary seen by the trees comes from other folds than the passage's own."""
+def fit(samples: list[tuple[str, int]], settings: Settings = Settings(), groups: list[str | None] | None = None) -> Model:
+    """Fit on graded passages of two levels at least (else no text gets a level); vocabulary seen by the trees comes from other folds than the passage's own.
+
+    ``groups``: the source of each passage; a source then lies in one fold as a whole and the agreement is
+    kept by source too. Fewer than two sources are an error, as nothing could be held out."""
     passages = [sentences_of(t) for t, _ in samples]
     levels = np.array([y for _, y in samples], dtype=float)
     usable = [i for i, p in enumerate(passages) if p]
     if not usable or len(set(levels[usable])) < 2:
         return Model([], Boosted(), [], None, 0.0, settings)  # nothing to tell apart: no text gets a level
     kinds = sorted({int(x) for x in levels[usable]})
-    fold = np.random.default_rng(3).permutation(len(samples)) % settings.folds
+    folds, fold = settings.folds, np.random.default_rng(3).permutation(len(samples)) % settings.folds
+    if groups is not None:
+        names = [g or "" for g in groups]
+        inside = sorted({names[i] for i in usable})
+        if len(inside) < 2:
+            raise ValueError("at least two sources are needed to validate by source")
+        folds = min(folds, len(inside))
+        part = dict(zip(inside, np.random.default_rng(3).permutation(len(inside)) % folds))
+        fold = np.array([part.get(g, 0) for g in names])
     x: dict[int, np.ndarray] = {}
-    for f in range(settings.folds):
+    for f in range(folds):
         table = _grades([passages[i] for i in usable if fold[i] != f], levels[[i for i in usable if fold[i] != f]])
         for i in usable:
             if fold[i] == f:
@@ -267,19 +280,22 @@ def fit(samples: list[tuple[str, int]], settings: Settings = Settings()) -> Mode
     matrix, y = np.array([x[i] for i in usable]), levels[usable]
     parts = fold[usable]
     outside = np.zeros(len(y))
-    for f in range(settings.folds):
+    for f in range(folds):
         outside[parts == f] = Boosted("squared", trees=80, depth=3, rate=0.1).fit(matrix[parts != f], y[parts != f]).score(matrix[parts == f])
     cuts = _cut_points(outside, y, kinds)
-    right = np.mean(np.array(kinds)[np.searchsorted(cuts, outside)] == y)
+    hits = np.array(kinds)[np.searchsorted(cuts, outside)] == y
+    right = np.mean(hits)
+    by_group = {} if groups is None else {g: float(np.mean(hits[[names[i] == g for i in usable]])) for g in inside}
     table = _grades([passages[i] for i in usable], y)
-    return Model(kinds, Boosted("squared", trees=80, depth=3, rate=0.1).fit(matrix, y), cuts, table, float(right), settings)
+    return Model(kinds, Boosted("squared", trees=80, depth=3, rate=0.1).fit(matrix, y), cuts, table, float(right), settings, by_group)
 
 
-def fitted(samples: DataFrame, text: str, level: str, settings: Settings = Settings()) -> Model:
-    """Fit on at most ``settings.sample`` distinct graded rows, the first by a hash of the text."""
-    rows = samples.where(F.col(text).isNotNull() & F.col(level).isNotNull()).select(text, level)
+def fitted(samples: DataFrame, text: str, level: str, settings: Settings = Settings(), group: str | None = None) -> Model:
+    """Fit on at most ``settings.sample`` distinct graded rows, the first by a hash of the text; ``group``
+    names the column of sources, by which the predictions are then validated."""
+    rows = samples.where(F.col(text).isNotNull() & F.col(level).isNotNull()).select(text, level, *([F.col(group).cast("string")] if group else []))
     sample = sample_rows(rows, text, settings.sample)
-    return fit([(r[0], int(r[1])) for r in sample], settings)
+    return fit([(r[0], int(r[1])) for r in sample], settings, [r[2] for r in sample] if group else None)
 
 
 def grade(docs: DataFrame, text: str, model: Model, into: str = "reading_level") -> DataFrame:
