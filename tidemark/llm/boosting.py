@@ -24,6 +24,7 @@ class Boosted:
     shrink: float = 1.0
     seed: int = 7
     rows: float = 0.8
+    columns: float = 1.0
     base: float = 0.0
     features: list[np.ndarray] = field(default_factory=list)
     cuts: list[np.ndarray] = field(default_factory=list)
@@ -45,6 +46,8 @@ class Boosted:
         self.base = float(np.log((mean + 1e-6) / (1 - mean + 1e-6))) if self.loss == "logistic" else float(mean)
         score = np.full(n, self.base)
         most = self.bins + 1
+        live = np.array([j for j in range(width) if len(edges[j])], dtype=np.int32)  # columns that are not constant
+        varied = live
         for _ in range(self.trees):
             if self.loss == "logistic":
                 p = 1 / (1 + np.exp(-score))
@@ -52,30 +55,30 @@ class Boosted:
             else:
                 gradient, weight = y - score, np.ones(n)
             use = rng.random(n) < self.rows
+            live = varied if self.columns >= 1 else np.sort(rng.choice(varied, max(1, int(len(varied) * self.columns)), replace=False)) if len(varied) else varied
+            width = len(live)
+            inside = np.arange(most) < np.array([len(edges[j]) for j in live]).reshape(-1, 1)
+            spots = binned[np.ix_(use, live)] + np.arange(width, dtype=np.int32) * most
+            pull, mass = np.repeat(gradient[use], width), np.repeat(weight[use], width)
             nodes = 2**self.depth - 1
             feature, cut = np.zeros(nodes, dtype=np.int32), np.full(nodes, np.inf)
             node = np.zeros(n, dtype=np.int64)
             for level in range(self.depth):
                 first, count = 2**level - 1, 2**level
                 local = node - first
-                best = np.full(count, 1e-9)
-                for j in range(width):
-                    if not len(edges[j]):
-                        continue
-                    key = (local * most + binned[:, j])[use]
-                    g = np.bincount(key, gradient[use], count * most).reshape(count, most)
-                    h = np.bincount(key, weight[use], count * most).reshape(count, most)
-                    gl, hl = g.cumsum(1), h.cumsum(1)
-                    gt, ht = gl[:, -1:], hl[:, -1:]
-                    gain = gl**2 / (hl + self.shrink) + (gt - gl) ** 2 / (ht - hl + self.shrink) - gt**2 / (ht + self.shrink)
-                    least = self.least * (0.02 if self.loss == "logistic" else 1.0)
-                    gain = np.where((hl >= least) & (ht - hl >= least), gain, 0)[:, : len(edges[j])]
-                    at = gain.argmax(1)
-                    value = gain[np.arange(count), at]
-                    better = value > best
-                    best[better] = value[better]
-                    feature[first : first + count][better] = j
-                    cut[first : first + count][better] = edges[j][at[better]]
+                # histograms of all features in one count: node, feature, bin
+                key = (local[use].astype(np.int32) * (width * most))[:, None] + spots
+                shape = (count, width, most)
+                g = np.bincount(key.ravel(), pull, count * width * most).reshape(shape)
+                h = np.bincount(key.ravel(), mass, count * width * most).reshape(shape)
+                gl, hl = g.cumsum(2), h.cumsum(2)
+                gt, ht = gl[:, :, -1:], hl[:, :, -1:]
+                gain = gl**2 / (hl + self.shrink) + (gt - gl) ** 2 / (ht - hl + self.shrink) - gt**2 / (ht + self.shrink)
+                least = self.least * (0.02 if self.loss == "logistic" else 1.0)
+                gain = np.where((hl >= least) & (ht - hl >= least) & inside, gain, 0).reshape(count, -1)
+                at = gain.argmax(1) if width else np.zeros(count, dtype=int)
+                for k in (np.flatnonzero(gain[np.arange(count), at] > 1e-9) if width else ()):
+                    feature[first + k], cut[first + k] = live[at[k] // most], edges[live[at[k] // most]][at[k] % most]
                 node = 2 * node + 1 + (x[np.arange(n), feature[node]] > cut[node])
             leaf = node - nodes
             g, h = np.bincount(leaf[use], gradient[use], nodes + 1), np.bincount(leaf[use], weight[use], nodes + 1)
