@@ -50,6 +50,26 @@ def test_subject_columns(spark):
     assert S.assign_subjects(df, "id", "text", empty).count() == 0
 
 
+def test_titles_decide_only_between_two_near_subjects():
+    class Fixed(S.Model):
+        def embed(self, lines):
+            of = {"reefs": [1, 0], "hives": [0, 1], "either": [0.71, 0.70], "": [0, 0]}
+            return np.array([of.get(x, [0, 0]) for x in lines], dtype=np.float32), np.array([9.0 if x in of and x else 0.0 for x in lines])
+
+    model = Fixed(["tides", "bees"], {"x": 0}, np.zeros((1, 2)), np.zeros(1), np.eye(2, dtype=np.float32))
+    sure, between = model.lean(["reefs", "either", "hives", "unknown"])
+    assert sure.tolist() == [0, -1, 1, -1] and between.tolist() == [[-1, -1], [0, 1], [-1, -1], [-1, -1]]
+
+
+def test_titles_of_documents(spark):
+    docs = documents(300, 3)
+    labelled = spark.createDataFrame([(i, t, y) for i, (t, y) in enumerate(docs)], "doc long, text string, subject string")
+    model = S.fitted(labelled, "text", "subject", None, "doc", S.Settings(rank=40))
+    rows = [(1, "check tide gauges daily\nsort reef surveys", "Keeper of hives"), (2, "check tide gauges daily", "sort reef surveys"), (3, None, "sort reef surveys"), (4, "check tide gauges daily\nsort reef surveys", None)]
+    df = spark.createDataFrame(rows, "id long, text string, head string")
+    assert sorted((r["doc"], r["subject"]) for r in S.assign_subjects(df, "id", "text", model, title="head").collect()) == [(1, "tides"), (4, "tides")]
+
+
 def test_sample_is_even_over_groups(spark):
     assert quotas({"a": 2, "b": 900, "c": 900}, 100) == {"a": 2, "b": 49, "c": 49}
     df = spark.range(3000).selectExpr("id", "CASE WHEN id % 1000 = 7 THEN 'rare' WHEN id % 2 = 0 THEN 'even' ELSE 'odd' END AS g")

@@ -70,19 +70,19 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each notice with typed placeholders in its description."""
-    notices = table(spark, sf_dir, "aps_gazette_vacancies", "notice_id", "description")
-    return notices.distinct().select("notice_id", redact(F.col("description")).alias("description_clean"))
+    """Each notice with typed placeholders in both of its texts."""
+    notices = table(spark, sf_dir, "aps_gazette_vacancies", "notice_id", "description", "duties_text").distinct()
+    return notices.select("notice_id", redact(F.col("description")).alias("description_clean"), redact(F.col("duties_text")).alias("duties_clean"))
 
 
 def _families(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Notices with the stretch of their text that holds duties, and the families of those without one."""
-    notices = table(spark, sf_dir, "aps_gazette_vacancies", "notice_id", "description", "job_family", "job_family_secondary", "job_family_confidence")
-    duties = F.split(F.col("description"), r"(?im)^\\s*Eligibility\\s*$", 2)[0]
+    notices = table(spark, sf_dir, "aps_gazette_vacancies", "notice_id", "job_title", "description", "job_family", "job_family_secondary", "job_family_confidence")
+    duties = F.split(F.col("description"), r"(?im)^\s*Eligibility\s*$", 2)[0]
     notices = notices.withColumn("duties", duties).drop("description")
     labelled = notices.where("job_family is not null and coalesce(job_family_confidence, 'low') <> 'low'")
     model = fitted(labelled, "duties", "job_family", "job_family_secondary", "notice_id", every=notices)
-    return notices, assign_subjects(notices.where("job_family is null and duties is not null"), "notice_id", "duties", model)
+    return notices, assign_subjects(notices.where("job_family is null and duties is not null"), "notice_id", "duties", model, title="job_title")
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -85,15 +85,23 @@ class Model:
 
     def assign(self, lines: list[str]) -> np.ndarray:
         """Number of the subject of each line, -1 for none."""
+        return self.lean(lines)[0]
+
+    def lean(self, lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Number of the subject of each line, -1 for none, and the two nearest subjects of lines that have
+        none only because these lie too close to each other (else -1)."""
         if not lines or not self.index:
-            return np.full(len(lines), -1, dtype=int)
+            return np.full(len(lines), -1, dtype=int), np.full((len(lines), 2), -1, dtype=int)
         embedded, mass = self.embed(lines)
         near = embedded @ self.centroids.T
+        at = np.arange(len(lines))
         first = near.argmax(axis=1)
-        best = near[np.arange(len(lines)), first]
-        near[np.arange(len(lines)), first] = -1  # with one subject the lead is over this
-        good = (best >= self.bar) & (best - near.max(axis=1) >= self.margin) & (mass >= self.mass)
-        return np.where(good, first, -1)
+        best = near[at, first]
+        near[at, first] = -1  # with one subject the lead is over this
+        second = near.argmax(axis=1)
+        strong = (best >= self.bar) & (mass >= self.mass)
+        clear = best - near[at, second] >= self.margin
+        return np.where(strong & clear, first, -1), np.where((strong & ~clear)[:, None], np.column_stack([first, second]), -1)
 
 
 def document_frequencies(docs: DataFrame, doc: str, text: str, terms: set[str]) -> tuple[dict[str, int], int]:
@@ -277,11 +285,13 @@ def fitted(
     return calibrate(fit(docs, settings, lambda terms: document_frequencies(everywhere, order, text, terms)), held, least_lines)
 
 
-def assign_subjects(docs: DataFrame, doc: str, text: str, model: Model, least_lines: int = 2) -> DataFrame:
+def assign_subjects(docs: DataFrame, doc: str, text: str, model: Model, least_lines: int = 2, title: str | None = None) -> DataFrame:
     """``(doc, subject, lines)``: each subject to which at least ``least_lines`` lines of a text belong.
 
-    Equal lines of one text count once. Null, empty and unknown texts give no row; a document given
-    twice gives its rows twice. The model is broadcast; its size is bounded by its settings.
+    ``title``: column of a title that is no line of the text but decides for lines that lie between two
+    subjects, one of them the title's own. Equal lines of one text count once. Null, empty and unknown texts
+    give no row, null and unknown titles decide nothing; a document given twice gives its rows twice. The
+    model is broadcast; its size is bounded by its settings.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -289,15 +299,20 @@ def assign_subjects(docs: DataFrame, doc: str, text: str, model: Model, least_li
         tool = shared.value
         for batch in batches:
             split = [lines_of(t) if isinstance(t, str) else [] for t in batch["text"]]
-            distinct = list(dict.fromkeys(line for lines in split for line in lines))
-            of = dict(zip(distinct, tool.assign(distinct).tolist()))
+            titles = [" ".join(t.lower().split()) if isinstance(t, str) else "" for t in batch["title"]]
+            distinct = list(dict.fromkeys([line for lines in split for line in lines] + titles))
+            sure, between = tool.lean(distinct)
+            of = dict(zip(distinct, sure.tolist()))
+            open_ = {line: pair for line, pair in zip(distinct, between.tolist()) if pair[0] >= 0}
             rows = []
-            for key, lines in zip(batch["doc"], split):
-                for s, n in Counter(of[x] for x in lines).items():
-                    if s >= 0 and n >= least_lines:
-                        rows.append((key, tool.subjects[s], n))
+            for key, lines, head in zip(batch["doc"], split, titles):
+                decides = of[head]
+                found = Counter(decides if decides >= 0 and decides in open_.get(x, ()) else of[x] for x in lines)
+                rows += [(key, tool.subjects[s], n) for s, n in found.items() if s >= 0 and n >= least_lines]
             yield pd.DataFrame(rows, columns=["doc", "subject", "lines"])
 
     kind = docs.schema[doc].dataType.simpleString()
-    found = docs.select(F.col(doc).cast("string").alias("doc"), F.col(text).alias("text")).mapInPandas(assign, "doc string, subject string, lines bigint")
+    head = F.col(title) if title else F.lit(None)
+    narrow = docs.select(F.col(doc).cast("string").alias("doc"), F.col(text).alias("text"), head.cast("string").alias("title"))
+    found = narrow.mapInPandas(assign, "doc string, subject string, lines bigint")
     return found.withColumn("doc", F.col("doc").cast(kind))
