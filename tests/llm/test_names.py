@@ -4,7 +4,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tidemark.llm.names import UNMATCHED, deletes, edit_cost, map_names, matcher
+from tidemark.llm.names import LINKS, UNMATCHED, deletes, edit_cost, map_names, matcher, plain, words
 
 NAMES = [
     ("Coastal Lights and Beacons Authority", "CLBA", "Shores and Passage"), ("Bureau of Inland Tides", "BIT", "Shores and Passage"), ("Bureau of Island Tides", None, "Shores and Passage"),
@@ -60,6 +60,36 @@ def test_symmetric_deletes_lose_nothing_within_two_edits(a, b):
         assert deletes(a, 2) & deletes(b, 2)
 
 
+def test_broken_off_texts_are_found_as_by_trying_every_entry(tool):
+    rng = random.Random(9)
+
+    def tried(raw):
+        core = "".join(w for w in words(plain(raw)) if w not in LINKS)
+        most = 1.2 if len(core) < 16 else 2.0
+        return {e.target for e in tool.entries if e.target and len(e.core) > len(core) and edit_cost(core, e.core[: len(core)], most) <= most}
+
+    for _ in range(400):
+        name = rng.choice(NAMES)[0]
+        text = list(name[: rng.randint(14, max(15, len(name) - 2))])
+        for _ in range(rng.randint(0, 3)):
+            k = rng.randrange(len(text) - 1)
+            how = rng.randrange(4)
+            if how == 0:
+                text[k], text[k + 1] = text[k + 1], text[k]
+            elif how == 1:
+                del text[k]
+            elif how == 2:
+                text.insert(k, rng.choice("aeiorst"))
+            else:
+                text[k] = rng.choice("aeiorst")
+        raw = "".join(text)
+        found = tool.cut_off(raw)
+        if found and found[0] == 3.0:
+            assert found[3][4] in tried(raw)
+        if found is None and sum(len(w) for w in words(plain(raw)) if w not in LINKS) >= 12:
+            assert not tried(raw)
+
+
 def test_planted_edits_are_undone(tool):
     rng = random.Random(5)
     wrong = 0
@@ -87,7 +117,7 @@ def test_column_form_in_blocks(spark):
     one = {(r["first"], r["second"]): r["target"] for r in map_names(pairs, names, known, counts).collect()}
     assert len(one) == len({(f, s) for f, s, _ in CASES})
     assert all(one[f, s] == (UNMATCHED if w is None else NAMES[w][0]) for f, s, w in CASES)
-    parts = {(r["first"], r["second"]): r["target"] for r in map_names(pairs, names, known, counts, block=5).collect()}
-    assert sum(parts[k] == one[k] for k in one) >= len(one) - 4
+    for block in (5, 16):
+        assert {(r["first"], r["second"]): r["target"] for r in map_names(pairs, names, known, counts, block=block).collect()} == one
     assert map_names(pairs.limit(0), names, known, counts).count() == 0
     assert {r["target"] for r in map_names(pairs, names.limit(0), known.limit(0), counts.limit(0)).collect()} == {UNMATCHED}

@@ -5,27 +5,38 @@ gives, for each word of an entered text, the reference words within two edits; e
 words become candidates and are ranked by weighted Damerau-Levenshtein distance, then by how often the
 reference name is used. Texts that no candidate fits are reported as misses.
 
-Only distinct texts are resolved. The dictionary is broadcast while the reference list has at most
-``MAX_BLOCK`` entries; a longer list is taken in blocks of that size and the best block wins.
+A text broken off at its end is looked up by its first letters in a second symmetric-delete dictionary, of
+the beginnings of entries, and in sorted lists of them.
+
+Only distinct texts are resolved. A dictionary holds at most ``MAX_BLOCK`` entries; a longer list is taken in
+blocks, each of which gives its best entry for every step of a resolution, and the decision is taken over the
+best of all blocks by the same order, so the answers do not depend on the blocks.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 import unicodedata
+from bisect import bisect_left
 from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import cut
+
 UNMATCHED = "UNMATCHED"
 #: Largest number of reference names one broadcast dictionary may hold.
-MAX_BLOCK = 20_000
+MAX_BLOCK = 2_000
+#: Letters of a beginning that are indexed with up to two of them taken out; shorter texts are only read literally.
+HEAD = 12
 #: Words that carry no weight in a name.
 LINKS = {"of", "the", "and", "for", "a", "an"}
 #: Common shortenings of words in names of bodies (fixed values).
@@ -109,9 +120,8 @@ def words(text: str) -> tuple[str, ...]:
     return tuple(SHORTENINGS.get(w, w.replace("'", "")) for w in found)
 
 
-def _order(rank: tuple[float, int, float, str | None]) -> tuple[float, int, float, str]:
-    """A total order of ranked entries; the name breaks what ties are left."""
-    return (*rank[:3], rank[3] or "")
+#: How good an entry is, the lowest first: cost, less its length, whether it is only a known form, less its use, target ("" for none).
+Rank = tuple[float, int, bool, float, str]
 
 
 @dataclass
@@ -124,6 +134,7 @@ class Entry:
     core: str = ""
     full: str = ""
     weight: float = 0.0
+    known: bool = False
 
     def __post_init__(self) -> None:
         self.text = plain(self.text)
@@ -131,6 +142,9 @@ class Entry:
         self.core = "".join(w for w in self.words if w not in LINKS)
         self.full = "".join(self.words)
 
+    def rank(self, cost: float) -> Rank:
+        return (round(cost, 3), -len(self.core), self.known, -self.weight, self.target or "")
+
 
 @dataclass
 class Matcher:
@@ -157,6 +171,13 @@ class Matcher:
         for k, entry in enumerate(self.entries):
             if entry.core:
                 self.by_core[entry.core].append(k)
+        self.by_text = sorted((e.text, k) for k, e in enumerate(self.entries) if e.target)
+        self.by_start = sorted((e.core, k) for k, e in enumerate(self.entries) if e.target)
+        self.by_head: dict[str, list[int]] = defaultdict(list)
+        for k, entry in enumerate(self.entries):
+            if entry.target and len(entry.core) >= HEAD:
+                for short in deletes(entry.core[:HEAD], 2):
+                    self.by_head[short].append(k)
         self.longest = max(map(len, self.by_piece), default=0)
         self.parts = [(w, deletes(w, 2)) for w in PART_WORDS]
 
@@ -175,6 +196,7 @@ class Matcher:
         return id(self)
 
     @staticmethod
+    @lru_cache(maxsize=100_000)
     def mend(word: str) -> str:
         """A misspelt shortening written out."""
         close = [long for short, long in SHORTENINGS.items() if len(short) > 2 and edit_cost(word, short, 1.2) <= 1.2]
@@ -189,7 +211,7 @@ class Matcher:
         (of at most ``most_cut`` words)."""
         found = words(text)
         yield found, 0.0
-        mended = tuple(w if len(w) > 5 or self.near(w) else self.mend(w) for w in found)
+        mended = tuple(w if len(w) > 5 else self.mend(w) for w in found)
         if mended != found:
             yield mended, 0.5
         for comma in {text.find(","), text.rfind(",")} - {-1}:
@@ -206,25 +228,20 @@ class Matcher:
                 for turn in range(1, min(3, len(head))):
                     yield head[turn:] + head[:turn], 0.02 * k + 0.2
 
-    def best(self, text: str, most_cut: int = 5) -> tuple[float, int, float, str | None] | None:
-        """The cheapest entry for a plain text: (cost, -length, -weight, target)."""
+    def best(self, text: str, most_cut: int = 5) -> Rank | None:
+        """The best entry for a plain text."""
         choice = None
         readings = [(found, extra, [w for w in found if w not in LINKS]) for found, extra in self.variants(text, most_cut)]
         for _, extra, content in readings:
             for k in self.by_core.get("".join(content), ()):
-                entry = self.entries[k]
-                rank = (round(extra, 3), -len(entry.core), -entry.weight, entry.target)
-                if choice is None or _order(rank) < _order(choice):
-                    choice = rank
+                rank = self.entries[k].rank(extra)
+                choice = rank if choice is None else min(rank, choice)
         if choice and choice[0] < 0.7:  # the least cost of any edit
             return choice
         for found, extra, content in readings:
             if not content:
                 continue
             votes: dict[int, int] = defaultdict(int)
-            content = [w for w in found if w not in LINKS]
-            if not content:
-                continue
             for w in content:
                 for k in self.near(w):
                     votes[k] += len(w)
@@ -237,91 +254,137 @@ class Matcher:
                 entry = self.entries[k]
                 cost = min(edit_cost(core, entry.core, most), edit_cost(full, entry.full, most))
                 if cost <= most:
-                    rank = (round(cost + extra, 3), -len(entry.core), -entry.weight, entry.target)
-                    if choice is None or _order(rank) < _order(choice):
-                        choice = rank
+                    rank = entry.rank(cost + extra)
+                    choice = rank if choice is None else min(rank, choice)
         return choice
 
-    def cut_off(self, raw: str) -> tuple[float, int, float, str | None] | None:
-        """An entry that a text broken off at its end begins, literally if possible."""
+    def _beginning(self, places: list[tuple[str, int]], start: str) -> Iterator[Entry]:
+        """Entries of a sorted list that go on after ``start``."""
+        for k in range(bisect_left(places, (start, -1)), len(places)):
+            if not places[k][0].startswith(start):
+                break
+            if places[k][0] != start:
+                yield self.entries[places[k][1]]
+
+    def cut_off(self, raw: str) -> tuple[float, float, str, Rank] | None:
+        """The entry that a text broken off at its end begins, literally if possible: cost, less its use and
+        letters, by which such entries are ordered, and its rank."""
         text = re.sub(r"\s*(?:…|\.\.+|-)\s*$", "", raw.strip())
         marked = text != raw.strip()
         text = plain(text)
         core = "".join(w for w in words(text) if w not in LINKS)
         if len(core) < 9:
             return None
-        literal = [e for e in self.entries if e.target and e.text.startswith(text) and e.text != text]
-        loose = literal or [e for e in self.entries if e.target and e.core.startswith(core) and len(e.core) > len(core)]
-        cost = (-0.5 if marked else 0.6) if literal else 1.5
-        if not loose and len(core) >= 12:
-            most = 1.2 if len(core) < 16 else 2.0
-            loose = [e for e in self.entries if e.target and len(e.core) > len(core) and edit_cost(core, e.core[: len(core)], most) <= most]
-            cost = 3.0
-        if not loose:
-            return None
-        entry = min(loose, key=lambda e: (-e.weight, e.core))
-        return (cost, -len(entry.core), -entry.weight, entry.target)
-
-    def acronym(self, raw: str) -> str | None:
-        """The name a short form stands for, alone or before a part."""
+        order = lambda e: (-e.weight, e.core, e.known, e.target)
+        if entry := min(self._beginning(self.by_text, text), key=order, default=None):
+            cost = -0.5 if marked else 0.6
+        elif entry := min(self._beginning(self.by_start, core), key=order, default=None):
+            cost = 1.5
+        elif len(core) >= HEAD:
+            most, cost = (1.2 if len(core) < 16 else 2.0), 3.0
+            near = {k for short in deletes(core[:HEAD], 2) for k in self.by_head.get(short, ()) if len(self.entries[k].core) > len(core)}
+            entry = min((e for e in (self.entries[k] for k in near) if edit_cost(core, e.core[: len(core)], most) <= most), key=order, default=None)
+        return (cost, -entry.weight, entry.core, entry.rank(cost)) if entry else None
+
+    def acronym(self, raw: str) -> tuple[int, str] | None:
+        """The name a short form stands for, alone (0) or before a part (1)."""
         text = _DOTTED.sub(lambda m: m[0].replace(".", ""), html.unescape(raw)).strip(" •*.:")
         text = re.sub(r"^(?:agency\s*:|the|cth|australian government\s*[-–—:]?)\s+", "", text, flags=re.I)
         head = re.split(r"\s[-–—/|]\s|,\s", text)[0].strip()
-        for part in (head, head.split(" ")[0] if self.is_part(words(plain(" ".join(head.split(" ")[1:])))) else ""):
+        for place, part in enumerate((head, head.split(" ")[0] if self.is_part(words(plain(" ".join(head.split(" ")[1:])))) else "")):
             if name := self.acronyms.get(part.upper()):
-                return name
+                return place, name
         return None
 
+    def step(self, name: str, first: str, second: str) -> tuple | None:
+        """The best this list has for one step of ``decided``."""
+        if name == "nothing":
+            text = " ".join(words(plain(first)))
+            return (0,) if text in NOTHING or text in self.groups else None
+        if name == "own":
+            return self.best(one) if (one := plain(first)) else None
+        if name == "joined":
+            one, two = plain(first), plain(second)
+            return self.best(f"{one} {two}", len(words(two))) if one and two else None
+        if name == "other":
+            return self.best(two) if (two := plain(second)) else None
+        raw = first if name.endswith("_own") else second
+        return self.acronym(raw) if name.startswith("short") else self.cut_off(raw)
+
     def resolve(self, first: str | None, second: str | None) -> tuple[str, float]:
         """Target and cost for what two fields mean together; the target is UNMATCHED where they mean none."""
         first, second = first or "", second or ""
-        one, two = plain(first), plain(second)
-        empty = " ".join(words(one)) in NOTHING or " ".join(words(one)) in self.groups
-        tries = []
-        if not empty:
-            if one and (found := self.best(one)):
-                tries.append(found)
-            if one and two and (found := self.best(f"{one} {two}", len(words(two)))):
-                tries.append((found[0] + 0.01, *found[1:]))
-            if not tries and (name := self.acronym(first)):
-                return name, 0.0
-        elif name := self.acronym(second):
-            return name, 0.0
-        if not tries and two and (found := self.best(two)):
-            tries.append(found)
-        if not tries or min(t[0] for t in tries) > 0.05 or _BROKEN.search(second if empty else first):
-            found = self.cut_off(second if empty else first)
-            if found and (not tries or found[0] < min(t[0] for t in tries)):
-                tries = [found]
-        if not tries and (name := self.acronym(second)):
-            return name, 0.0
-        if not tries:
-            return UNMATCHED, -1.0
-        # a joined reading that uses up more of the text beats a shorter one of like cost
-        best = min(tries, key=lambda t: (t[0] > min(x[0] for x in tries) + 0.5, t[1], t[0], t[2], t[3] or ""))
-        return best[3] or UNMATCHED, best[0]
-
-
-def matcher(names: Iterable[tuple], known: Iterable[tuple], counts: dict[str, int]) -> Matcher:
-    """``names``: (name, short name, group); ``known``: (printed form, name or None)."""
-    entries, acronyms, groups, seen = [], {}, set(), set()
-    total = sum(counts.values()) + 1
-    for name, short, group in names:
-        if short:
-            acronyms[short.strip().upper()] = name
+        return decided(first, second, lambda name: self.step(name, first, second))
+
+
+STEPS = ("nothing", "own", "joined", "other", "short_own", "short_other", "cut_own", "cut_other")
+
+
+def decided(first: str, second: str, best: Callable[[str], tuple | None]) -> tuple[str, float]:
+    """What two fields mean together, given the best entry of each step (asked for only where needed)."""
+    empty = best("nothing") is not None
+    tries: list[Rank] = []
+    if not empty:
+        if found := best("own"):
+            tries.append(tuple(found))
+        if found := best("joined"):
+            tries.append((found[0] + 0.01, *found[1:]))
+        if not tries and (short := best("short_own")):
+            return short[1], 0.0
+    elif short := best("short_other"):
+        return short[1], 0.0
+    if not tries and (found := best("other")):
+        tries.append(tuple(found))
+    if not tries or min(t[0] for t in tries) > 0.05 or _BROKEN.search(second if empty else first):
+        found = best("cut_other" if empty else "cut_own")
+        if found and (not tries or found[0] < min(t[0] for t in tries)):
+            tries = [tuple(found[3])]
+    if not tries and (short := best("short_other")):
+        return short[1], 0.0
+    if not tries:
+        return UNMATCHED, -1.0
+    # a joined reading that uses up more of the text beats a shorter one of like cost
+    least = min(t[0] for t in tries)
+    chosen = min(tries, key=lambda t: (t[0] > least + 0.5, t[1], t[0], *t[2:]))
+    return chosen[4] or UNMATCHED, chosen[0]
+
+
+def matcher(names: Iterable[tuple], known: Iterable[tuple], counts: dict[str, int], total: int | None = None) -> Matcher:
+    """``names``: (name, short name, group); ``known``: (printed form, name or None); ``total``: of the counts
+    of all names, where these are only some of them."""
+    entries, acronyms, groups = [], {}, set()
+    total = (sum(counts.values()) if total is None else total) + 1
+    for name, short, group in sorted(names, key=str):
+        if short and name:
+            key = short.strip().upper()
+            acronyms[key] = min(name, acronyms.get(key, name))
         if group:
             groups.add(" ".join(words(plain(group))))
         if name:
             entries.append(Entry(name, name, weight=counts.get(name, 0) / total))
-            seen.add(plain(name))
-    for printed, name in known:
-        if printed and plain(printed) not in seen:
-            seen.add(plain(printed))
-            entries.append(Entry(name, printed, weight=counts.get(name, 0) / total if name else 0.0))
+    for printed, name in sorted(known, key=str):
+        if printed and plain(printed):
+            entries.append(Entry(name, printed, weight=counts.get(name, 0) / total if name else 0.0, known=True))
     return Matcher(entries, acronyms, groups)
 
 
-_READY: dict[tuple, Matcher] = {}
+_READY: dict[str, Matcher] = {}
+
+
+def _ready(digest: str, rules: tuple) -> Matcher:
+    """The matcher of these rules, built once in a worker; the one used longest ago is forgotten."""
+    tool = _READY.pop(digest, None) or matcher(*rules)
+    while len(_READY) >= 2:
+        _READY.pop(next(iter(_READY)))
+    _READY[digest] = tool
+    return tool
+
+
+_RANK = "struct<cost: double, length: bigint, known: boolean, weight: double, target: string>"
+_SHAPES = {
+    "nothing": "struct<place: bigint>", "own": _RANK, "joined": _RANK, "other": _RANK, "short_own": "struct<place: bigint, name: string>", "short_other": "struct<place: bigint, name: string>",
+    "cut_own": f"struct<cost: double, weight: double, core: string, rank: {_RANK}>", "cut_other": f"struct<cost: double, weight: double, core: string, rank: {_RANK}>",
+}
 
 
 def map_names(pairs: DataFrame, names: DataFrame, known: DataFrame, counts: DataFrame, block: int = MAX_BLOCK) -> DataFrame:
@@ -329,38 +392,87 @@ def map_names(pairs: DataFrame, names: DataFrame, known: DataFrame, counts: Data
 
     ``names(name, short, group)``, ``known(printed, name)`` with a null name for forms known to mean
     none, ``counts(name, n)``. Null and blank fields mean nothing; both null is UNMATCHED. Repeated
-    pairs give one row. Only the reference side is gathered, in blocks of at most ``block`` names.
+    pairs give one row. Only the reference side is gathered, one block of about ``block`` names and known
+    forms at a time; answers are the same for any ``block``.
     """
     spark = pairs.sparkSession
     # pairs are few bytes but much work each, so they are spread by count, not by size
     tasks = 4 * spark.sparkContext.defaultParallelism
     distinct = pairs.select("first", "second").distinct().repartition(tasks, "first", "second")
-    size = names.count() + known.count()
+    often = counts.where("name is not null").groupBy("name").agg(F.sum("n").alias("n"))
+    entries = names.select("name", "short", "group", F.lit(None).cast("string").alias("printed"), F.lit(False).alias("form"), F.xxhash64("name", "short", "group").alias("key"))
+    forms = known.where("printed is not null").select("name", F.lit(None).cast("string").alias("short"), F.lit(None).cast("string").alias("group"), "printed", F.lit(True).alias("form"), F.xxhash64("printed").alias("key"))
+    every = entries.unionByName(forms).distinct().join(often, "name", "left")
+    size, total = every.count(), often.agg(F.sum("n")).first()[0] or 0
     blocks = -(-size // block) or 1
-    schema = "first string, second string, target string, cost double"
-    parts = []
-    for b in range(blocks):
-        mine = F.pmod(F.xxhash64("name"), F.lit(blocks)) == b if blocks > 1 else F.lit(True)
-        own = [tuple(r) for r in names.where(mine).select("name", "short", "group").distinct().collect()]
-        forms = [tuple(r) for r in known.where(mine | F.col("name").isNull()).select("printed", "name").distinct().collect()]
-        held = {r[0] for r in own}
-        often = {r["name"]: r["n"] for r in counts.join(F.broadcast(names.where(mine).select("name").distinct()), "name").collect() if r["name"] in held}
-        shared = spark.sparkContext.broadcast((sorted(own, key=str), sorted(forms, key=str), often))
-
-        def resolve(batches: Iterator[pd.DataFrame], shared=shared, b=b) -> Iterator[pd.DataFrame]:
-            key = (shared.id if hasattr(shared, "id") else id(shared), b)
-            tool = None
+    if blocks > 1:
+        every, distinct = cut(every), cut(distinct)
+
+    def gathered(b: int) -> tuple[str, Broadcast]:
+        rows = every.where(F.pmod("key", F.lit(blocks)) == b).collect()
+        own = sorted(((r["name"], r["short"], r["group"]) for r in rows if not r["form"]), key=str)
+        known_forms = sorted(((r["printed"], r["name"]) for r in rows if r["form"]), key=str)
+        rules = (own, known_forms, {r["name"]: r["n"] for r in rows if r["n"]}, total)
+        return hashlib.sha256(repr((own, known_forms, sorted(rules[2].items()), total)).encode()).hexdigest(), spark.sparkContext.broadcast(rules)
+
+    if blocks == 1:
+        digest, shared = gathered(0)
+
+        def resolve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            tool = _ready(digest, shared.value)
             for batch in batches:
-                tool = tool or _READY.get(key) or _READY.setdefault(key, matcher(*shared.value))
                 found = [tool.resolve(x, y) for x, y in zip(batch["first"], batch["second"])]
                 batch["target"], batch["cost"] = [t for t, _ in found], [c for _, c in found]
                 yield batch
 
-        parts.append(distinct.mapInPandas(resolve, schema))
-    if blocks == 1:
-        return parts[0]
+        return distinct.mapInPandas(resolve, "first string, second string, target string, cost double")
+
+    parts = []
+    for b in range(blocks):
+        digest, shared = gathered(b)
+
+        def steps(batches: Iterator[pd.DataFrame], digest: str = digest, shared: Broadcast = shared) -> Iterator[pd.DataFrame]:
+            tool = _ready(digest, shared.value)
+            for batch in batches:
+                for name in STEPS:
+                    found = [tool.step(name, x or "", y or "") for x, y in zip(batch["first"], batch["second"])]
+                    batch[name] = pd.Series([_record(name, x) for x in found], dtype=object, index=batch.index)
+                yield batch
+
+        schema = "first string, second string, " + ", ".join(f"{n} {_SHAPES[n]}" for n in STEPS)
+        parts.append(cut(distinct.mapInPandas(steps, schema)))  # one block after the other, so the driver holds one
+        shared.unpersist()
     union = parts[0]
     for part in parts[1:]:
         union = union.unionByName(part)
-    order = F.struct((F.col("target") == UNMATCHED).alias("miss"), "cost", "target")
-    return union.groupBy("first", "second").agg(F.min(order).alias("best")).select("first", "second", "best.target", "best.cost")
+    best = union.groupBy("first", "second").agg(*[F.min(n).alias(n) for n in STEPS])
+
+    def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for row in batch.to_dict("records"):
+                first, second = row["first"] or "", row["second"] or ""
+                rows.append((row["first"], row["second"], *decided(first, second, lambda name, row=row: _values(row[name]))))
+            yield pd.DataFrame(rows, columns=["first", "second", "target", "cost"])
+
+    return best.mapInPandas(decide, "first string, second string, target string, cost double")
+
+
+def _record(name: str, found: tuple | None) -> dict | None:
+    """A step's result by field names."""
+    rank = lambda r: dict(zip(("cost", "length", "known", "weight", "target"), r))
+    if found is None:
+        return None
+    if name == "nothing":
+        return {"place": found[0]}
+    if name.startswith("short"):
+        return {"place": found[0], "name": found[1]}
+    return {"cost": found[0], "weight": found[1], "core": found[2], "rank": rank(found[3])} if name.startswith("cut") else rank(found)
+
+
+def _values(found) -> tuple | None:  # noqa: ANN001
+    """A step's result as a tuple again."""
+    if found is None or (isinstance(found, float) and found != found):
+        return None
+    values = found.values() if isinstance(found, dict) else found
+    return tuple(_values(v) if isinstance(v, dict) or hasattr(v, "asDict") else v for v in values)
