@@ -10,7 +10,7 @@ from tidemark.operators import relational as R
 from tidemark.operators import resolve as N
 from tidemark.operators import validate as V
 from tidemark.operators.notices import FOOTER, parse_gazette
-from tidemark.plans.quality import q_mismatches
+from tidemark.plans.quality import q_division_mismatches
 
 D = dt.date
 
@@ -49,6 +49,70 @@ def test_longest_prefix_and_start(spark):
     assert starts == {1: "ab cd", 2: "ab cd", 3: None, 4: None, 5: None}
 
 
+def test_names_of_any_number_of_words_are_found(spark):
+    long = " ".join(f"w{i}" for i in range(13))
+    names = spark.createDataFrame([(long, "LONG", 1), ("w0 w1", "SHORT", 2)], "key string, name string, ord int")
+    df = spark.createDataFrame([(1, long), (2, long + " x"), (3, "w0 w1 w2"), (4, "w " * 30_000)], "id int, t string")
+    assert {r["id"]: r["matched"] for r in R.longest_prefix(df, F.col("t"), names, "key", "name", "ord", ["id"]).collect()} == {1: "LONG", 2: "LONG", 3: "SHORT", 4: None}
+    assert R.longest_prefix(df, F.col("t"), names.limit(0), "key", "name", "ord", ["id"]).where("matched is not null").count() == 0
+
+
+def test_sides_are_measured_by_rows_and_bytes(spark):
+    df = spark.createDataFrame([(i, "x" * 1000) for i in range(100)], "i int, t string")
+    assert R.is_small(df) and not R.is_small(df, most=99) and not R.is_small(df, most_bytes=50_000) and R.is_small(df.limit(0))
+
+
+def _tides(spark, starts=None):
+    empty = spark.createDataFrame([], "raw string, name string")
+    names = spark.createDataFrame([("Tide Office", "1"), ("Reef Board", "2"), ("Ferry Agency", "3")], "name string, ord string")
+    prefixes = spark.createDataFrame([("Shores Portfolio", "1", None)], "prefix string, ord string, name string")
+    return N.Rules(names, empty, prefixes, spark.createDataFrame([("Shores Portfolio",)], "raw string"), spark.createDataFrame([], "name string, to string"), empty, starts)
+
+
+def test_many_portfolios_and_fallbacks(spark):
+    portfolios = spark.range(10_001).selectExpr("concat('P', id) AS name").union(spark.createDataFrame([(None,)], "name string"))
+    rows = spark.createDataFrame([("P10000", "Tide Office", None), ("P3", "Various", None), ("Reef Board", None, "Ferry Agency"), (None, None, None), ("P4", None, "Ferry Agency"), ("x.pdf", "Tide Office", "b")], "agency string, division string, branch string")
+    allowed = spark.createDataFrame([("Reef Board", "Ferry Agency")], "host string, part string")
+    fallback = spark.createDataFrame([("P3", "Reef Board"), ("P3", "Tide Office")], "agency string, name string")
+    keys = ["agency", "division", "branch"]
+    got = {tuple(r[k] for k in keys): r["canonical"] for r in N.resolve_rows(rows, _tides(spark), portfolios, keys, allowed, fallback).collect()}
+    assert got == {("P10000", "Tide Office", None): "Tide Office", ("P3", "Various", None): "Reef Board", ("Reef Board", None, "Ferry Agency"): "Ferry Agency", (None, None, None): None, ("P4", None, "Ferry Agency"): "Ferry Agency", ("x.pdf", "Tide Office", "b"): "Tide Office"}
+
+
+def test_fixed_beginnings_come_before_names(spark):
+    starts = spark.createDataFrame([("Tide Office if you", "Reef Board"), ("Tide Office", "Ferry Agency")], "raw string, name string")
+    texts = spark.createDataFrame([("Tide Office if you call us",), ("Tide Officers",), ("Tide Office x",)], "raw string")
+    assert {r["raw"]: (r["name"], r["method"]) for r in N.resolve_texts(texts, _tides(spark, starts)).collect()} == {
+        "Tide Office if you call us": ("Reef Board", "manual"), "Tide Officers": (None, "uncertain"), "Tide Office x": ("Ferry Agency", "manual")}
+
+
+def test_overrides_and_names_by_date(spark):
+    rows = spark.createDataFrame([("v1", "Old Farms", None, "X", "2020-01-01"), ("v2", "Old Farms", None, "X", "2023-01-01"), ("v3", "q", "Old Farms", "Y", "2020-01-01"), ("v4", None, None, None, None), ("v1", "Old Farms", None, "X", None)], "vacancy_no string, agency string, division string, agency_canonical string, gazette_date string")
+    rules = spark.createDataFrame([("agency", "Old Farms", None, "2022-07-01", "Farms"), ("division", "Old Farms", "X", "2022-07-01", "no")], "column string, value string, name string, before string, to string")
+    got = sorted(((r["vacancy_no"], r["agency_canonical"]) for r in N.renamed_by_date(rows, rules, "gazette_date").collect()), key=str)
+    assert got == [("v1", "Farms"), ("v1", "X"), ("v2", "X"), ("v3", "Y"), ("v4", None)]
+    fixed = spark.createDataFrame([("v2", "Z"), ("v2", "ZZ"), (None, "n")], "key string, name string")
+    assert sorted((r["vacancy_no"], r["agency_canonical"]) for r in N.overridden_rows(rows.where("vacancy_no <> 'v4'"), fixed, "vacancy_no").collect()) == [("v1", "X"), ("v1", "X"), ("v2", "Z"), ("v3", "Y")]
+
+
+def test_crosswalk_of_all_texts(spark):
+    rows = spark.createDataFrame([("Tide Office", None, None), ("Tide Office", "x", None), ("a.pdf", "Reef", "Board"), ("Please contact Ann", None, None), (None, "d", "b")], "agency string, division string, branch string")
+    groups = spark.createDataFrame([("Tide Office", "Shores")], "name string, grp string")
+    got = [tuple(r) for r in N.build_crosswalk(rows, _tides(spark), groups, ["Please contact"]).collect()]
+    assert got == [("Reef Board", "Reef Board", "Reef Board", "exact"), ("Tide Office", "Tide Office", "Shores", "exact"), ("[contact text]", None, None, "uncertain")]
+    with pytest.raises(ValueError, match="Nowhere"):
+        N.lineage_edges(spark.createDataFrame([(["Tide Office"], ["Nowhere"], None, None)], "olds array<string>, news array<string>, effective date, relation string"), spark.createDataFrame([("Tide Office",)], "name string"))
+
+
+def test_missing_linkage_columns_fail(spark):
+    df = spark.createDataFrame([(1,)], "x int")
+    bounds = {"linkage": {"min_am_rows": 1, "min_groups": 1, "max_groups": 2}}
+    for rows in (df, df.limit(0)):
+        assert [(r["severity"], r["label"]) for r in V.validate(rows, bounds).collect()] == [("FAIL", "linkage columns missing")]
+    with pytest.raises(V.ReleaseError, match="linkage"):
+        V.checked(df, bounds)
+
+
 def test_chunks(spark):
     df = spark.range(1005).select((F.col("id") * 7 % 1005).alias("v"))
     got = {r["chunk"]: r["n"] for r in R.chunked(df, 100, F.col("v")).groupBy("chunk").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -175,7 +239,7 @@ def test_mismatches_take_the_longest_start_and_three_examples(spark, tmp_path):
     spark.createDataFrame(notices, "notice_id int, agency_canonical string, division string, vacancy_no string").write.parquet(f"{tmp_path}/aps_gazette_vacancies.parquet")
     spark.createDataFrame([("Port Board",), ("Port Board Annex",), ("Mint",)], "agency_canonical string").write.parquet(f"{tmp_path}/agency_register.parquet")
     spark.createDataFrame([("Old Mint ", "Mint")], "predecessor_canonical string, successor_canonical string").write.parquet(f"{tmp_path}/agency_lineage.parquet")
-    got = {(r["canonical"], r["found"]): (r["n"], r["examples"]) for r in q_mismatches(spark, str(tmp_path)).collect()}
+    got = {(r["canonical"], r["found"]): (r["n"], r["examples"]) for r in q_division_mismatches(spark, str(tmp_path)).collect()}
     assert got == {(None, "Port Board"): (6, ["v2", "v3", "v4"]), (None, "Port Board Annex"): (1, ["v9"]), ("Mint", "Port Board"): (1, ["v3"])}
 
 

@@ -1,5 +1,6 @@
 import hashlib
 import json
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.__main__ import main
 from tidemark.operators.boilerplate import Thresholds
 from tidemark.operators.classify import checked_prompt
+from tidemark.operators.validate import ReleaseError
 from tidemark.plans import pipeline, quality
 from tidemark.sources.tables import table
 
@@ -28,6 +30,15 @@ def test_empty_build(spark, folder):
     assert pipeline.build(raw, quality.build_inputs(spark, folder), {}, Thresholds()).count() == 0
 
 
+def test_build_stops_where_a_layer_fails(spark, folder):
+    raw, inputs = table(spark, folder, "gazette_vacancies_raw").drop("notice_id").distinct(), quality.build_inputs(spark, folder)
+    with pytest.raises(ReleaseError, match="release rows"):
+        pipeline.build(raw, inputs, {"combined": "weekly", "vacancy_only": "weekly"}, Thresholds(), expectations={"min_release_rows": 10**9})
+    fixed = spark.createDataFrame([(raw.first()["vacancy_no"], "Reef Board")], "key string, name string")
+    built = pipeline.build(raw, replace(inputs, fixed=fixed), {"combined": "weekly", "vacancy_only": "weekly"}, Thresholds())
+    assert {(r["agency_canonical"], r["agency_group"]) for r in built.where(F.col("vacancy_no") == fixed.first()["key"]).collect()} == {("Reef Board", "Reef Board")}
+
+
 def test_commands(spark, folder, tmp_path, capsys):
     assert main(["build", folder, str(tmp_path), "--min-titles", "2"]) == 0 and (tmp_path / "release.json").exists()
     bounds = tmp_path / "bounds.json"

@@ -4,7 +4,7 @@ import os
 import pytest
 
 from tidemark.operators.relational import latest
-from tidemark.sources import documents, fetch, gazette, ledger, release
+from tidemark.sources import documents, fetch, gazette, ledger, release, store
 from tidemark.streaming.ingest import dropped, first_seen, ingest, parse_pending
 from tests.test_operators import notice
 
@@ -26,6 +26,44 @@ def test_csv_round_trip(spark, tmp_path):
     assert ledger.read_csv(spark, str(tmp_path / "none.csv"), ledger.PARSE_LOG).count() == 0
 
 
+def test_ledgers_grow_and_empty_tables_are_written(spark, tmp_path):
+    path, schema = str(tmp_path / "log.csv"), "filename string, status string"
+    ledger.append_csv(spark.createDataFrame([("b", "x, \"y\""), ("a", None)], schema), path, schema)
+    ledger.append_csv(spark.createDataFrame([("b", "parsed")], schema), path, schema)
+    assert [(r["filename"], r["status"]) for r in ledger.read_csv(spark, path, schema).orderBy("line_no").collect()] == [("b", 'x, "y"'), ("a", None), ("b", "parsed")]
+    ledger.write_csv(spark.createDataFrame([], schema), path)
+    assert open(path, newline="").read() == '"filename","status"\r\n' and sorted(os.listdir(tmp_path)) == [x for x in sorted(os.listdir(tmp_path)) if "log.csv" in x]
+    rows = "gazette_date string, vacancy_no string"
+    place = str(tmp_path / "all.parquet")
+    ledger.append_sorted(None, spark.createDataFrame([(None, "z"), ("2024-01-02", "b")], rows), place)
+    ledger.append_sorted(spark.createDataFrame(spark.read.parquet(place).collect(), rows), spark.createDataFrame([("2024-01-02", "a")], rows), place)
+    assert sorted(map(tuple, spark.read.parquet(place).collect()), key=str) == [("2024-01-02", "a"), ("2024-01-02", "b"), (None, "z")]
+
+
+def test_store_pull_push_and_archive(spark, tmp_path):
+    near, far, third = (store.Store(spark, str(tmp_path / n)) for n in ("near", "far", "third"))
+    near.write("r.csv", b"one")
+    near.write("pdfs/2024/a.pdf", b"pdf")
+    assert store.push(near, ["r.csv", "none"], far, dry_run=True) == {"r.csv": "pushed", "none": "missing"} and not far.exists("r.csv")
+    assert store.push(near, ["r.csv"], far) == {"r.csv": "pushed"} and store.push(near, ["r.csv"], far) == {"r.csv": "same"}
+    near.write("r.csv", b"two")
+    done = store.push_release(near, {"public": ["r.csv"], "private": ["pdfs/2024/a.pdf"]}, {"public": far, "private": third}, "2024-05-06", ["r.csv"])
+    assert done == {"public": {"r.csv": "pushed", "snapshots/r-20240506.csv": "pushed"}, "private": {"pdfs/2024/a.pdf": "pushed"}} and far.read("r.csv") == b"two"
+    assert store.pull(far, ["r.csv", "none"], third) == {"r.csv": "pulled", "none": "missing"} and third.read("r.csv") == b"two"
+    assert store.archived(near, far, "pdfs", "*.pdf") == ["pdfs/2024/a.pdf"] and store.archived(near, far, "pdfs", "*.pdf") == [] and store.archived(near, far, "nothing") == []
+    assert far.digest("pdfs/2024/a.pdf") == release.file_hash(str(tmp_path / "near/pdfs/2024/a.pdf"))
+
+
+def test_audit_is_written_under_two_names(spark, tmp_path):
+    audit = spark.createDataFrame([("b", 10.0, "k"), ("a", 5.0, "k"), ("a", 50.0, "j")], "body string, pct_of_bin double, key string")
+    for rows in (audit, audit.limit(0)):
+        release.write_audit(rows, str(tmp_path), "audit", "2024-05-06")
+        texts = {open(tmp_path / n, newline="").read() for n in ("audit.csv", "audit-20240506.csv")}
+        assert len(texts) == 1
+    release.write_audit(audit, str(tmp_path), "audit", "2024-05-06")
+    assert [line.split(",")[0] for line in open(tmp_path / "audit.csv")][1:] == ['"a"', '"a"', '"b"']
+
+
 def test_planner(spark):
     days = gazette.business_days(spark, "2024-01-01", "2024-01-10")
     assert days.count() == 8
@@ -66,6 +104,7 @@ def test_release_and_push(spark, tmp_path):
     for _ in range(2):  # a second release replaces the first
         release.write_release(df, str(tmp_path), "r", release.provenance(str(tmp_path), "test", 2, method=""))
     assert spark.read.parquet(str(tmp_path / "r.parquet")).count() == 2
+    assert release.notes_of(spark.read.parquet(str(tmp_path / "r.parquet")))["row_count"] == "2" and release.notes_of(df) == {}
     sidecar = json.loads((tmp_path / "r.json").read_text())
     assert sidecar["row_count"] == "2" and sidecar["git_sha"] == "unknown" and sidecar["method"] == "unknown"
     for entry in sidecar["files"]:
@@ -87,6 +126,12 @@ def test_summary(spark):
     assert "| 1 |  |" in release.step_summary(spark.createDataFrame([(1, None)], "a int, b string"), "T")
 
 
+def test_summary_says_what_it_leaves_out(spark):
+    assert "The first 50 of 60 rows." in release.step_summary(spark.range(60).toDF("a"), "T") and "first" not in release.step_summary(spark.range(50).toDF("a"), "T")
+    found = spark.createDataFrame([("WARN", "w", "d", 1), ("FAIL", "f", "d", 2)], "severity string, label string, detail string, n long")
+    assert release.warnings_of(found) == ["::error::f: 2 (d)", "::warning::w: 1 (d)"] and release.warnings_of(found, 1)[-1] == "::warning::more than 1 findings"
+
+
 def test_extraction_logs_failures(spark, tmp_path):
     (tmp_path / "a.pdf").write_bytes(b"good")
     (tmp_path / "b.pdf").write_bytes(b"bad")

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import text as T
+from tidemark.operators.classify import answer_fields
 from tidemark.operators.linkage import bare_word, copies_of, kind_of, linked
 from tidemark.operators.shaping import guarded_date, guarded_range, not_equal, ordered, placed_after, remapped, unless, with_default
 
@@ -84,6 +85,22 @@ def test_last_valid_object(spark):
     assert one(spark, f, '{"job_family": "X"} {"job_family": "Y"}') == "X" and one(spark, f, "none") is None and one(spark, f, None) is None
 
 
+def test_answers(spark):
+    cases = [
+        ('{"job_family": "A", "confidence": "high", "secondary_family": "B"}', ("A", "high", "B")), ('{"job_family": "A", "why": {"x": [1, "}"]}, "secondary_family": "B"}', ("A", None, "B")), ("```\n{\"job_family\": \"B\"}\n```", ("B", None, None)),
+        ('x {"job_family": "Z", "confidence": "low"} y {"job_family": ""}', (None, "low", None)), ('{"job_family": "A"} then {"job_family": "B", "secondary_family": ""}', ("B", None, None)), ("[1]", (None, None, None)), ("", (None, None, None)), (None, (None, None, None)),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "i int, t string")
+    got = {r["i"]: tuple(r)[1:] for r in df.select("i", *answer_fields(F.col("t"), ["A", "B"])).collect()}
+    assert [got[i] for i in range(len(cases))] == [want for _, want in cases]
+
+
+def test_prompt_text_prints_what_is_missing(spark):
+    df = spark.createDataFrame([(None, None, "b")], "a string, c string, t string")
+    text = T.prompt_text({"A": F.col("a"), "C": F.col("c")}, {"C": ["x"]}, F.col("t"), missing="nan")
+    assert df.select(text).first()[0] == "A: nan\nb"
+
+
 def test_ids(spark):
     assert one(spark, lambda x: T.safe_id(F.lit("PS1"), x), "VN-1") == "PS1_VN-1" and len(one(spark, lambda x: T.safe_id(x), "é" * 99)) == 64
     assert one(spark, lambda x: T.group_id(x, F.lit("a")), None) == one(spark, lambda x: T.group_id(F.lit(""), F.lit("a")), None)

@@ -26,7 +26,7 @@ def main(args: list[str] | None = None) -> int:
     one.add_argument("tables"), one.add_argument("target")
     one.add_argument("--threshold", type=float, default=0.30), one.add_argument("--min-titles", type=int, default=3)
     one.add_argument("--global-threshold", type=float, default=0.40), one.add_argument("--global-min-titles", type=int, default=30)
-    one.add_argument("--dry-run", action="store_true")
+    one.add_argument("--dry-run", action="store_true"), one.add_argument("--expectations", help="bounds both layers must meet")
     for name in ("validate", "current"):
         one = commands.add_parser(name, help="a release against expectations")
         one.add_argument("release"), one.add_argument("expectations")
@@ -37,7 +37,7 @@ def main(args: list[str] | None = None) -> int:
         ingest(spark, given.folder, given.target, given.log, given.checkpoint, given.batch).awaitTermination()
     elif given.command == "build":
         limits = Thresholds(given.threshold, 10, given.min_titles, given.global_threshold, 500, given.global_min_titles)
-        release = pipeline.build(spark.read.parquet(f"{given.tables}/gazette_vacancies_raw.parquet"), quality.build_inputs(spark, given.tables), {"combined": "weekly", "vacancy_only": "weekly"}, limits)
+        release = pipeline.build(spark.read.parquet(f"{given.tables}/gazette_vacancies_raw.parquet"), quality.build_inputs(spark, given.tables), {"combined": "weekly", "vacancy_only": "weekly"}, limits, expectations=V.load_expectations(given.expectations) if given.expectations else None)
         rows = release.count()
         print(f"{rows} rows")
         if not given.dry_run:

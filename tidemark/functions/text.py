@@ -136,19 +136,24 @@ def safe_id(*parts: Column, length: int = 64) -> Column:
     return F.substring(F.regexp_replace(F.trim(F.concat_ws("_", *parts)), "[^A-Za-z0-9_-]", "_"), 1, length)
 
 
-def prompt_text(labels: dict[str, Column], skip: dict[str, list[str]], body: Column, most: int = 3000) -> Column:
-    """Labelled lines for a classifier and the start of a body; listed values of a field are left out."""
+def prompt_text(labels: dict[str, Column], skip: dict[str, list[str]], body: Column, most: int = 3000, missing: str | None = None) -> Column:
+    """Labelled lines for a classifier and the start of a body; listed values of a field are left out. A null
+    field drops its line, or is printed as ``missing`` where that is given and the field has no list."""
     lines = []
     for label, value in labels.items():
-        line = F.concat(F.lit(f"{label}: "), value)
+        line = F.concat(F.lit(f"{label}: "), value if missing is None or label in skip else F.coalesce(value, F.lit(missing)))
         lines.append(F.when(~F.lower(F.trim(value)).isin(skip[label]), line) if label in skip else line)
     return F.concat_ws("\n", *lines, F.substring(body, 1, most))
 
 
 def last_valid_object(text: Column, schema: str, field: str, allowed: list[str]) -> Column:
-    """The last flat JSON object in a text whose ``field`` is allowed, else the first that parses."""
-    found = F.transform(F.regexp_extract_all(text, F.lit(r"(\{[^{}]+\})"), F.lit(1)), lambda x: F.from_json(x, schema))
-    parsed = F.filter(found, lambda x: x.isNotNull())
+    """The JSON object of an answer: fences off, the whole text is tried first, then each flat object in it.
+    The last one whose ``field`` is allowed wins, else the first that parses (null for null and for none)."""
+    bare = F.regexp_replace(F.regexp_replace(strip(text), up(r"\A```(?:json)?\s*"), ""), up(r"\s*```\z"), "")
+    tried = F.concat(F.array(bare), F.regexp_extract_all(bare, F.lit(r"(\{[^{}]+\})"), F.lit(1)))
+    # from_json is lenient at the ends, so only what is one object from end to end is parsed
+    whole = F.filter(tried, lambda x: x.rlike(up(r"\A\s*\{.*\}\s*\z", dot_all=True)) & F.try_parse_json(x).isNotNull())
+    parsed = F.filter(F.transform(whole, lambda x: F.from_json(x, schema)), lambda x: x.isNotNull())
     good = F.filter(parsed, lambda x: x[field].isin(allowed))
     return F.coalesce(F.try_element_at(good, F.lit(-1)), F.try_element_at(parsed, F.lit(1)))
 

@@ -14,14 +14,14 @@ from pathlib import Path
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import last_valid_object, safe_id
 from tidemark.operators.relational import chunked, key_violations, upsert, without_keys
 
 KEYS = ["gazette_id", "vacancy_no"]
-ANSWER = "job_family string, confidence string, secondary string"
+ANSWER = "job_family string, confidence string, secondary_family string"
 
 
 def checked_prompt(path: str, registry: str, version: str) -> str:
@@ -104,9 +104,14 @@ def called(rows: DataFrame, text: str, make_client: Callable[[], Client], famili
 
     schema = ", ".join([f"{k} {rows.schema[k].dataType.simpleString()}" for k in keys] + ["raw_response string"])
     answers = rows.select(*keys, text).mapInPandas(run, schema)
-    parsed = answers.withColumn("_a", last_valid_object(F.col("raw_response"), ANSWER, "job_family", families))
-    family = F.when(F.col("_a.job_family").isin(families), F.col("_a.job_family"))
-    return parsed.select(*keys, "raw_response", family.alias("job_family"), F.col("_a.confidence").alias("job_family_confidence"), F.col("_a.secondary").alias("job_family_secondary"))
+    return answers.select(*keys, "raw_response", *answer_fields(F.col("raw_response"), families))
+
+
+def answer_fields(answer: Column, families: list[str]) -> list[Column]:
+    """Family (null unless allowed), confidence and second family of a raw answer; empty texts become null."""
+    found = last_valid_object(answer, ANSWER, "job_family", families)
+    family = F.when(found["job_family"].isin(families), found["job_family"])
+    return [family.alias("job_family"), F.nullif(found["confidence"], F.lit("")).alias("job_family_confidence"), F.nullif(found["secondary_family"], F.lit("")).alias("job_family_secondary")]
 
 
 def submitted(jobs: dict[int, str], batch_numbers: list[int], submit: Callable[[int], str], saved: Callable[[dict[int, str]], None]) -> dict[int, str]:

@@ -5,16 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows a lookup side may have to be broadcast outright; beyond it Spark plans the join by size.
-MOST_BROADCAST = 200_000
+#: Rows and bytes a lookup side may have to be broadcast outright; beyond them Spark plans the join by size.
+MOST_BROADCAST, MOST_BYTES = 200_000, 64_000_000
 
 
-def small_side(df: DataFrame, most: int = MOST_BROADCAST) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``most`` rows, else as it is.
+def is_small(df: DataFrame, most: int = MOST_BROADCAST, most_bytes: int = MOST_BYTES) -> bool:
+    """Whether ``df`` has at most so many rows and bytes. Rows are counted and measured where they lie, up to
+    the bound; one row reaches the driver. ``df`` is run, so it should be a stored or cheap table."""
+    texts = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) if not k.startswith(("array", "struct", "map")) else F.length(F.to_json(F.struct(F.col(f"`{c}`")))) for c, k in df.dtypes]
+    size = sum(texts[1:], texts[0]) if texts else F.lit(0)
+    found = df.limit(most + 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("size")).first()
+    return found["n"] <= most and found["size"] <= most_bytes
 
-    Rows are counted up to the bound by running ``df``, so it should be a stored or cheap table.
-    """
-    return F.broadcast(df) if len(df.limit(most + 1).select(F.lit(1)).take(most + 1)) <= most else df
+
+def small_side(df: DataFrame, most: int = MOST_BROADCAST) -> DataFrame:
+    """``df`` with a broadcast hint if it is small, else as it is."""
+    return F.broadcast(df) if is_small(df, most) else df
 
 
 def first_per_key(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
@@ -74,17 +80,19 @@ def joined_back(df: DataFrame, found: DataFrame, row: list[str]) -> DataFrame:
     return df.join(side, condition, "left").drop(*[f"_key_{r}" for r in row])
 
 
-def longest_prefix(df: DataFrame, text: Column, names: DataFrame, key: str, target: str, rank: str, row: list[str], into: str = "matched", most_words: int = 12) -> DataFrame:
+def longest_prefix(df: DataFrame, text: Column, names: DataFrame, key: str, target: str, rank: str, row: list[str], into: str = "matched", bounded: bool = False) -> DataFrame:
     """``df`` with the target whose key is the longest prefix of ``text`` ending at a word's end.
 
     Word prefixes are laid out and joined by equality, so no pair of row and name is tried in vain. Of
-    equal keys the lower ``rank`` wins. ``row``: columns that together name a row of ``df``.
+    equal keys the lower ``rank`` wins. ``row``: columns that together name a row of ``df``. No prefix is
+    laid out that has more words than the longest name. ``bounded``: the caller knows that ``names`` is small.
     """
     words = F.split(text, " ")
+    most_words = names.agg(F.max(F.size(F.split(key, " ")))).first()[0] or 1
     prefixes = F.transform(F.sequence(F.lit(1), F.least(F.size(words), F.lit(most_words))), lambda i: F.array_join(F.slice(words, 1, i), " "))
     laid = df.where(text.isNotNull() & (text != "")).select(*row, F.explode(F.array_distinct(prefixes)).alias("_prefix"))
     side = names.groupBy(F.col(key).alias("_prefix")).agg(F.min(F.struct(rank, target)).alias("_hit"))
-    best = laid.join(small_side(side), "_prefix").groupBy(*row).agg(F.max_by(f"_hit.{target}", F.length("_prefix")).alias(into))
+    best = laid.join(F.broadcast(side) if bounded else small_side(side), "_prefix").groupBy(*row).agg(F.max_by(f"_hit.{target}", F.length("_prefix")).alias(into))
     return joined_back(df, best, row)
 
 
@@ -92,27 +100,34 @@ def longest_start(df: DataFrame, text: str, names: DataFrame, name: str, into: s
     """``df`` with the longest name its text starts with, whatever follows.
 
     Names are grouped by length; the text's start of each length is compared by equality, so the work is
-    one hash lookup for each row and different length of a name.
+    one hash lookup for each row and different length of a name (of which there are at most as many as the
+    longest name has letters).
     """
-    lengths = [r[0] for r in names.select(F.length(name)).where(F.col(name).isNotNull()).distinct().limit(1001).collect()]
-    if len(lengths) > 1000:
-        raise ValueError("names of more than 1,000 different lengths")
-    starts = F.array(*[F.when(F.length(text) >= n, F.substring(text, 1, n)) for n in sorted(lengths, reverse=True)])
+    lengths = names.select(F.array_sort(F.collect_set(F.length(name)))).first()[0]
+    known = F.array(*[F.lit(n) for n in lengths]).cast("array<int>")
+    starts = F.transform(F.filter(known, lambda n: n <= F.length(text)), lambda n: F.substring(F.col(text), F.lit(1), n))
     row = row or df.columns
-    laid = df.select(*row, F.explode(F.filter(starts, lambda x: x.isNotNull())).alias("_start")).distinct()
+    laid = df.select(*row, F.explode(starts).alias("_start")).distinct()
     side = names.select(F.col(name).alias("_start")).where("_start is not null").distinct()
     best = laid.join(small_side(side), "_start").groupBy(*row).agg(F.max_by("_start", F.length("_start")).alias(into))
     return joined_back(df, best, row)
 
 
 def first_listed(df: DataFrame, tries: list[Column], known: DataFrame, key: str, target: str, row: list[str], into: str = "resolved") -> DataFrame:
-    """``df`` with the target of the first of several tried texts that is known.
+    """``df`` with the target of the first of several tried texts that is known."""
+    return first_listed_of(df, {into: tries}, known, key, target, row)
+
+
+def first_listed_of(df: DataFrame, tries: dict[str, list[Column]], known: DataFrame, key: str, target: str, row: list[str]) -> DataFrame:
+    """``df`` with, for each name, the target of the first of its tried texts that is known.
 
-    All tries are laid out with their place, joined once and the lowest place wins.
+    All tries of all names are laid out with their place and joined once; the lowest place of a name wins.
     """
-    laid = df.select(*row, F.posexplode(F.array(*tries)).alias("_place", "_try")).where("_try is not null and _try <> ''")
+    every = F.array(*[F.struct(F.lit(n).alias("_name"), F.lit(i).alias("_place"), x.alias("_try")) for n, columns in tries.items() for i, x in enumerate(columns)])
+    laid = df.select(*row, F.inline(every)).where("_try is not null and _try <> ''")
     side = known.where(F.col(target).isNotNull()).groupBy(F.col(key).alias("_try")).agg(F.min(target).alias("_target"))
-    best = laid.join(small_side(side), "_try").groupBy(*row).agg(F.min_by("_target", "_place").alias(into))
+    first = [F.min(F.when(F.col("_name") == n, F.struct("_place", "_target")))["_target"].alias(n) for n in tries]
+    best = laid.join(small_side(side), "_try").groupBy(*row).agg(*first)
     return joined_back(df, best, row)
 
 

@@ -100,7 +100,10 @@ def release_checks(df: DataFrame, expectations: dict) -> list[Check]:
         recent = c("description_clean").isNotNull() & (c("gazette_date") >= F.lit(b["since"]).cast("date"))
         share = 100 * F.count_if(recent & F.contains(F.lower("description_clean"), F.lit(b["phrase"].lower()))) / F.nullif(F.count_if(recent), F.lit(0))
         checks.append(at_most("boilerplate residual", share, b["max_pct_of_descriptions_clean"], FAIL if b["max_pct_of_descriptions_clean"] < 1.0 else WARN))
-    if (b := e.get("linkage")) and {"is_affirmative_measure", "posting_group_id"} <= set(df.columns):
+    b = e.get("linkage")
+    if b and (gone := {"is_affirmative_measure", "posting_group_id"} - set(df.columns)):
+        checks.append(Check("linkage columns missing", FAIL, F.lit(len(gone)), "> 0", ", ".join(sorted(gone))))
+    elif b:
         checks.append(at_least("special rows", F.count_if("is_affirmative_measure"), b["min_am_rows"], WARN))
         checks.append(within("linked groups", F.count_distinct("posting_group_id"), b["min_groups"], b["max_groups"]))
     if (b := e.get("posting_kind")) and "posting_kind" in df.columns:
@@ -119,6 +122,20 @@ def validate(df: DataFrame, expectations: dict) -> DataFrame:
     return findings(df, release_checks(df, expectations))
 
 
+class ReleaseError(RuntimeError):
+    """A release with findings that must stop it."""
+
+
+def checked(df: DataFrame, expectations: dict) -> list:
+    """The findings of all release checks, printed; a FAIL among them is an error that names all of those."""
+    rows = validate(df, expectations).orderBy("severity", "label").collect()  # at most as many as checks
+    for r in rows:
+        print(f"{r['severity']}: {r['label']}: {r['n']} ({r['detail']})")
+    if failed := [r["label"] for r in rows if r["severity"] == FAIL]:
+        raise ReleaseError("; ".join(failed))
+    return rows
+
+
 def print_current(df: DataFrame, expectations: dict) -> str:
     """The observed value of each bound, as JSON."""
     return json.dumps({r["label"]: r["v"] for r in observed(df, release_checks(df, expectations)).collect()}, indent=2, sort_keys=True)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import text as T
+from tidemark.operators.classify import answer_fields
 from tidemark.operators.linkage import bare_word, kind_of, linked
 from tidemark.operators.shaping import emptied, guarded_date, guarded_range, ordered, placed_after, remapped, renamed, with_default
 from tidemark.sources import gazette
@@ -132,6 +133,19 @@ def q_prompt_text(spark: SparkSession, d: str) -> DataFrame:
     return raw.select("notice_id", F.length(text).cast("bigint").alias("n_chars"), F.md5(text).alias("digest"))
 
 
+def q_answers(spark: SparkSession, d: str) -> DataFrame:
+    """Answers of a classifier read back: bare, fenced, with a nested object, corrected in the text, or none."""
+    families = sorted(r[0] for r in table(spark, d, "job_families").select("job_family").distinct().collect())  # the fixed list a prompt holds
+    rows = table(spark, d, RELEASE, "notice_id", "job_family", "job_family_secondary").distinct()
+    family, second = F.coalesce("job_family", F.lit("NO_SUCH_FAMILY")), F.coalesce("job_family_secondary", F.lit(""))
+    bare = F.concat(F.lit('{"job_family": "'), family, F.lit('", "confidence": "high", "secondary_family": "'), second, F.lit('"}'))
+    nested = F.concat(F.lit('{"job_family": "'), family, F.lit('",\n "why": {"words": ["a", "{b}"]}, "confidence": "medium", "secondary_family": null}'))
+    mended = F.concat(F.lit('I first thought {"job_family": "GUESS", "confidence": "low"} but\n{"job_family": "'), family, F.lit('", "confidence": "high"} it is.'))
+    form = F.pmod("notice_id", F.lit(5))
+    answer = F.when(form == 0, bare).when(form == 1, F.concat(F.lit("```json\n"), bare, F.lit("\n```"))).when(form == 2, nested).when(form == 3, mended).otherwise("I cannot say.")
+    return rows.select("notice_id", *answer_fields(answer, families))
+
+
 QUERIES = {k: v for k, v in list(globals().items()) if k.startswith("q_")}
 
 _PHONE = "|".join(T.PHONE_SHAPES)
@@ -205,6 +219,11 @@ SELECT DISTINCT notice_id, 'none' AS posting_kind, job_type AS engagement, CASE
   CASE WHEN salary IN ('', 'Flexible', 'Negotiable') THEN NULL ELSE salary END AS salary
 FROM (SELECT DISTINCT notice_id, gazette_type, job_type, office_arrangement, salary FROM gazette_vacancies_raw)""",
     "q_json_field": "SELECT event_type, CAST(sum(CAST(props->>'k' AS BIGINT)) AS BIGINT) AS sum_k, count(props->>'k') AS n_k FROM events GROUP BY 1",
+    "q_answers": """
+WITH r AS (SELECT DISTINCT notice_id, job_family, job_family_secondary FROM aps_gazette_vacancies),
+k AS (SELECT *, CASE WHEN job_family IN (SELECT job_family FROM job_families) THEN job_family END AS fam, notice_id % 5 AS form FROM r)
+SELECT notice_id, CASE WHEN form < 4 THEN fam END AS job_family, CASE WHEN form IN (0, 1) THEN 'high' WHEN form = 2 THEN 'medium' WHEN form = 3 THEN CASE WHEN fam IS NULL THEN 'low' ELSE 'high' END END AS job_family_confidence,
+  CASE WHEN form IN (0, 1) THEN nullif(job_family_secondary, '') END AS job_family_secondary FROM k""",
     "q_prompt_text": r"""
 WITH r AS (SELECT DISTINCT notice_id, job_title, branch, classification_code, duties_text, description_clean FROM aps_gazette_vacancies),
 t AS (SELECT notice_id, concat_ws(chr(10), 'Title: ' || job_title, 'Grade: ' || classification_code,

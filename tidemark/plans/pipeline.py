@@ -12,8 +12,9 @@ from tidemark.operators import boilerplate as B
 from tidemark.operators.classify import attached
 from tidemark.operators.linkage import kind_of, linked
 from tidemark.operators.relational import preferred_source, small_side
-from tidemark.operators.resolve import Rules, resolve_rows, with_group
+from tidemark.operators.resolve import Rules, overridden_rows, renamed_by_date, resolve_rows, with_group
 from tidemark.operators.shaping import emptied, guarded_date, guarded_range, not_equal, ordered, placed_after, remapped, renamed, unless
+from tidemark.operators.validate import checked
 from tidemark.session import cut
 
 #: Order of the release's columns.
@@ -28,14 +29,21 @@ PLACEHOLDERS = ("", "N/A", "n/a", "-", "Not applicable")
 
 @dataclass(frozen=True)
 class Inputs:
-    """What a build needs beside raw rows: name rules, portfolios, groups ``(name, grp)``, employers under
-    their own act ``(name)``, and stored classifications or None."""
+    """What a build needs beside raw rows: name rules, portfolios ``(name)``, groups ``(name, grp)``, employers
+    under their own act ``(name)``, and stored classifications or None. Optional tables of names:
+    ``allowed(host, part)``, ``fallback(agency, name)``, ``fixed(key, name)`` for single vacancies,
+    ``renames(column, value, name, before, to)`` by date and ``canonical(name, to)`` for names no longer used."""
 
     rules: Rules
-    portfolios: list[str]
+    portfolios: DataFrame
     groups: DataFrame
     own_act: DataFrame
     results: DataFrame | None = None
+    allowed: DataFrame | None = None
+    fallback: DataFrame | None = None
+    fixed: DataFrame | None = None
+    renames: DataFrame | None = None
+    canonical: DataFrame | None = None
 
 
 def normalised(raw: DataFrame) -> DataFrame:
@@ -52,10 +60,17 @@ def named(rows: DataFrame, inputs: Inputs) -> DataFrame:
     null in all three. Placeholder texts and titles that are amounts become null."""
     keys = ["agency", "division", "branch"]
     texts = rows.select(*keys).distinct()
-    known = resolve_rows(texts, inputs.rules, inputs.portfolios, keys).withColumnsRenamed({k: f"_{k}" for k in keys})
+    known = resolve_rows(texts, inputs.rules, inputs.portfolios, keys, inputs.allowed, inputs.fallback).withColumnsRenamed({k: f"_{k}" for k in keys})
     same = [rows[k].eqNullSafe(known[f"_{k}"]) for k in keys]
     df = rows.join(known, same[0] & same[1] & same[2], "left").drop(*[f"_{k}" for k in keys]).withColumnRenamed("canonical", "agency_canonical")
-    df = with_group(df, "agency_canonical", inputs.groups)
+    if inputs.canonical is not None:
+        moved = small_side(inputs.canonical.groupBy(F.col("name").alias("agency_canonical")).agg(F.min("to").alias("_to")))
+        df = df.join(moved, "agency_canonical", "left").withColumn("agency_canonical", F.coalesce("_to", "agency_canonical")).drop("_to")
+    if inputs.renames is not None:
+        df = renamed_by_date(df, inputs.renames, "gazette_date")
+    if inputs.fixed is not None:
+        df = overridden_rows(df, inputs.fixed, "vacancy_no")
+    df = with_group(df, "agency_canonical", inputs.groups)  # anew for every row, whatever changed its name
     own = small_side(inputs.own_act.select(F.col("name").alias("_own"), F.lit(True).alias("_is_own")).distinct())
     df = df.join(own, F.col("agency_canonical") == F.col("_own"), "left")
     df = df.withColumn("ps_act_employer", F.when(F.col("agency_canonical").isNotNull(), F.col("_is_own").isNull())).drop("_own", "_is_own")
@@ -91,9 +106,21 @@ def cleaned(rows: DataFrame, limits: B.Thresholds, protected: str | None = None)
     return df.withColumns({c: T.redact_contacts(F.col(c)) for c in ("description", "description_clean", "duties_text")})
 
 
-def build(raw: DataFrame, inputs: Inputs, types: dict[str, str], limits: B.Thresholds = B.Thresholds(), protected: str | None = None) -> DataFrame:
-    """Raw notices to the release, with stored classifications where there are any."""
-    df = cleaned(released(named(normalised(raw), inputs), types), limits, protected)
+def build(
+    raw: DataFrame, inputs: Inputs, types: dict[str, str], limits: B.Thresholds = B.Thresholds(), protected: str | None = None, expectations: dict | None = None
+) -> DataFrame:
+    """Raw notices to the release, with stored classifications where there are any.
+
+    ``expectations``: bounds that the layer of released rows and the cleaned one must meet; both are then
+    stored before they are checked, and a FAIL stops the build (``ReleaseError``)."""
+    df = released(named(normalised(raw), inputs), types)
+    if expectations is not None:
+        df = cut(df)
+        checked(df, expectations)
+    df = cleaned(df, limits, protected)
+    if expectations is not None:
+        df = cut(df)
+        checked(df, expectations)
     if inputs.results is not None:
         df = attached(df, inputs.results, ["job_family", "job_family_confidence", "job_family_secondary"])
     else:

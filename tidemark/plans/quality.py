@@ -16,8 +16,9 @@ from tidemark.operators.linkage import copies_of
 from tidemark.operators.notices import FOOTER, LABELS, marker_count, parse_gazette
 from tidemark.plans import pipeline
 from tidemark.session import cut, ensure_checkpoint_dir
+from tidemark.sources.store import Store
 from tidemark.sources.tables import table
-from tidemark.streaming.ingest import quarter_counts
+from tidemark.streaming.ingest import quarter_counts, quarter_totals
 
 RAW, RELEASE = "gazette_vacancies_raw", "aps_gazette_vacancies"
 LIMITS = B.Thresholds(share=0.3, least_ads=5, least_titles=2, global_share=0.1, global_ads=20, global_titles=3)
@@ -118,7 +119,7 @@ def _rules(spark: SparkSession, d: str) -> N.Rules:
 def build_inputs(spark: SparkSession, d: str) -> pipeline.Inputs:
     """Rule tables of a folder as inputs of a build."""
     register = table(spark, d, "agency_register")
-    portfolios = sorted(r[0] for r in register.where("portfolio is not null").select("portfolio").distinct().limit(10_000).collect())
+    portfolios = register.select(F.col("portfolio").alias("name"))
     groups = register.selectExpr("agency_canonical AS name", "agency_group AS grp").distinct()
     return pipeline.Inputs(_rules(spark, d), portfolios, groups, register.where("not ps_act_employer").selectExpr("agency_canonical AS name").distinct())
 
@@ -137,7 +138,7 @@ def q_resolved_texts(spark: SparkSession, d: str) -> DataFrame:
 def q_resolved_rows(spark: SparkSession, d: str) -> DataFrame:
     """Every notice by its three name fields."""
     rows = table(spark, d, RELEASE, "notice_id", "agency", "division", "branch").distinct()
-    portfolios = sorted(r[0] for r in table(spark, d, "agency_register", "portfolio").where("portfolio is not null").distinct().limit(10_000).collect())
+    portfolios = table(spark, d, "agency_register").select(F.col("portfolio").alias("name"))
     return N.resolve_rows(rows, _rules(spark, d), portfolios, ["notice_id", "agency", "division", "branch"]).select("notice_id", "canonical")
 
 
@@ -168,6 +169,16 @@ def q_validate(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_mismatches(spark: SparkSession, d: str) -> DataFrame:
+    """Notices whose division is exactly the name of another body than their own, less allowed pairs."""
+    rows = table(spark, d, RELEASE, "notice_id", "agency_canonical", "division", "vacancy_no").distinct()
+    names = table(spark, d, "agency_register").select(F.col("agency_canonical").alias("found")).distinct()
+    exact = rows.join(R.small_side(names), F.col("division") == F.col("found"))
+    allowed = table(spark, d, "agency_lineage").selectExpr("trim(predecessor_canonical) AS canonical", "trim(successor_canonical) AS found")
+    pairs = V.mismatches(exact, "agency_canonical", "found", allowed, "vacancy_no")
+    return pairs.select("canonical", "found", "n", F.try_element_at("examples", F.lit(1)).alias("first_example"))
+
+
+def q_division_mismatches(spark: SparkSession, d: str) -> DataFrame:
     """Notices whose division starts with another body's name than their own, by the longest such name."""
     rows = table(spark, d, RELEASE, "notice_id", "agency_canonical", "division", "vacancy_no").distinct()
     divisions = rows.where("division is not null").select("division").distinct()
@@ -208,11 +219,11 @@ def q_stream_quarters(spark: SparkSession, d: str) -> DataFrame:
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{shared}/out/batch={number}")
 
-    query = counts.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", f"{shared}/state").trigger(availableNow=True).start()
+    query = counts.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", f"{shared}/state").trigger(availableNow=True).start()
     query.awaitTermination()
-    out = spark.read.parquet(f"{shared}/out")
-    last = out.agg(F.max("batch")).first()[0]
-    return out.where(F.col("batch") == last).groupBy(F.to_date("quarter").alias("quarter"), "event_type").agg(F.sum("n").alias("n"))
+    totals = cut(quarter_totals(spark.read.parquet(f"{shared}/out"), "event_type"))
+    Store(spark, shared).delete("")  # the copy, the state and the batches; the totals are checkpointed
+    return totals
 
 
 QUERIES = {k: v for k, v in list(globals().items()) if k.startswith("q_")}
@@ -317,6 +328,13 @@ WITH r AS (SELECT DISTINCT notice_id, agency_canonical, division, vacancy_no FRO
 SELECT agency_canonical AS canonical, division AS found, count(*) AS n, min(vacancy_no) AS first_example FROM r
 WHERE division IN (SELECT agency_canonical FROM agency_register) AND division IS DISTINCT FROM agency_canonical
   AND NOT EXISTS (SELECT 1 FROM agency_lineage l WHERE trim(l.predecessor_canonical, ' ') IS NOT DISTINCT FROM agency_canonical AND trim(l.successor_canonical, ' ') = division) GROUP BY 1, 2""",
+    "q_division_mismatches": """
+WITH r AS (SELECT DISTINCT notice_id, agency_canonical, division, vacancy_no FROM aps_gazette_vacancies),
+g AS (SELECT DISTINCT agency_canonical AS name FROM agency_register WHERE agency_canonical IS NOT NULL),
+s AS (SELECT division, arg_max(name, length(name)) AS found FROM (SELECT DISTINCT division FROM r) JOIN g ON starts_with(division, name) GROUP BY 1)
+SELECT agency_canonical AS canonical, found, count(*) AS n, list_sort(list_distinct(list(vacancy_no)))[1:3] AS examples FROM r JOIN s USING (division)
+WHERE found IS DISTINCT FROM agency_canonical
+  AND NOT EXISTS (SELECT 1 FROM agency_lineage l WHERE trim(l.predecessor_canonical, ' ') IS NOT DISTINCT FROM agency_canonical AND trim(l.successor_canonical, ' ') = found) GROUP BY 1, 2""",
     "q_reconciled": """
 WITH k AS (SELECT gazette_id, gazette_date, count(*) AS n_raw, max(raw_vn_count) AS n_log FROM gazette_vacancies_raw GROUP BY 1, 2)
 SELECT 'counts differ' AS label, count(*) AS n_keys, CAST(sum(n_raw - coalesce(n_log, 0)) AS BIGINT) AS n_rows FROM k WHERE n_raw <> coalesce(n_log, 0) HAVING count(*) > 0""",

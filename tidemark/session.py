@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
@@ -39,7 +41,9 @@ def ship(spark: SparkSession) -> None:
     if getattr(context, "_tidemark_shipped", False):
         return
     root = Path(__file__).resolve().parent
-    place = os.path.join(tempfile.mkdtemp(prefix="tidemark-"), "tidemark.zip")
+    folder = tempfile.mkdtemp(prefix="tidemark-")  # the driver's own, as the context hands the file out from it
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    place = os.path.join(folder, "tidemark.zip")
     with zipfile.ZipFile(place, "w") as package:
         for file in sorted(root.rglob("*.py")):
             package.write(file, str(Path(root.name, file.relative_to(root))))
@@ -50,13 +54,15 @@ def ship(spark: SparkSession) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Point the context at the shared checkpoint folder.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only where that is unset (tests, a laptop)
-    is a local folder chosen, since no other machine then has to read it.
+    The cluster names it in ``spark.checkpoint.dir``. Only in local mode, where no other machine has to read
+    it, is a folder chosen if that is unset; elsewhere its absence is an error.
     """
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isDefined():
         return
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not context.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
     if not folder:
         folder = os.path.join(tempfile.gettempdir(), "tidemark-checkpoints")
     context.setCheckpointDir(folder)

@@ -21,9 +21,10 @@ def binary_files(spark: SparkSession, folder: str, pattern: str = "*.pdf") -> Da
     return files.select("path", "length", "content", F.sha2("content", 256).alias("sha256"))
 
 
-def pdftotext(content: bytes) -> str:
-    """Text of a PDF by the program of that name; a failure of the program is an error."""
-    done = subprocess.run(["pdftotext", "-layout", "-", "-"], input=content, capture_output=True, check=False)
+def pdftotext(content: bytes, options: tuple[str, ...] = ()) -> str:
+    """Text of a PDF in reading order by the program of that name, with its ``options`` (such as ``-layout``);
+    a failure of the program is an error."""
+    done = subprocess.run(["pdftotext", *options, "-", "-"], input=content, capture_output=True, check=False)
     if done.returncode:
         raise RuntimeError(done.stderr.decode(errors="replace")[:500])
     return done.stdout.decode(errors="replace")

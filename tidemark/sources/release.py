@@ -6,11 +6,13 @@ import hashlib
 import json
 import os
 import subprocess
-from pathlib import Path
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.sources.ledger import write_csv
+from tidemark.sources.store import Store
+
 
 def file_hash(path: str) -> str:
     """SHA-256 of a file, read in pieces of 1 MiB."""
@@ -35,23 +37,41 @@ def provenance(folder: str, stage: str, rows: int, **versions: str) -> dict[str,
 
 
 def write_release(df: DataFrame, folder: str, name: str, notes: dict[str, str], partition_by: list[str] | None = None) -> None:
-    """Parquet and gzip CSV below ``folder``, each written beside its place and renamed, and a sidecar JSON
-    with size and hash of every file."""
-    writer = df.write.mode("overwrite")
+    """Parquet and gzip CSV below ``folder`` (on any file system), each written beside its place and renamed,
+    and a sidecar JSON with size and hash of every file.
+
+    ``notes`` are also kept in the footer of every parquet file, as metadata of the first column under
+    ``release``, where ``notes_of`` finds them again.
+    """
+    spark = df.sparkSession
+    store = Store(spark, folder)
+    first = df.columns[0]
+    noted = df.withMetadata(first, {**df.schema[first].metadata, "release": dict(notes)})
     for kind in ("parquet", "csv"):
-        place, fresh = f"{folder}/{name}.{kind}", f"{folder}/_{name}.{kind}.new"
-        w = writer.partitionBy(*partition_by) if partition_by and kind == "parquet" else writer
+        fresh = f"_{name}.{kind}.new"
         if kind == "parquet":
-            w.parquet(fresh)
+            w = noted.write.mode("overwrite")
+            (w.partitionBy(*partition_by) if partition_by else w).parquet(f"{folder}/{fresh}")
         else:
-            w.option("header", True).option("compression", "gzip").csv(fresh)
-        if os.path.exists(place):
-            os.rename(place, f"{folder}/_{name}.{kind}.old")
-        os.rename(fresh, place)
-        subprocess.run(["rm", "-rf", f"{folder}/_{name}.{kind}.old"], check=True)
-    files = sorted(p for kind in ("parquet", "csv") for p in Path(f"{folder}/{name}.{kind}").rglob("*") if p.is_file() and not p.name.startswith((".", "_")))
-    entries = [{"key": str(p.relative_to(folder)), "bytes": p.stat().st_size, "sha256": file_hash(str(p))} for p in files]
-    Path(f"{folder}/{name}.json").write_text(json.dumps({**notes, "files": entries}, indent=2))
+            df.write.mode("overwrite").option("header", True).option("compression", "gzip").csv(f"{folder}/{fresh}")
+        store.replace(fresh, f"{name}.{kind}")
+    files = [f for kind in ("parquet", "csv") for f in store.listed(f"{name}.{kind}")]
+    entries = [{"key": key, "bytes": size, "sha256": store.digest(key)} for key, size in files]
+    store.write(f"{name}.json", json.dumps({**notes, "files": entries}, indent=2).encode())
+
+
+def notes_of(df: DataFrame) -> dict[str, str]:
+    """What a release read back says about itself; empty for other tables."""
+    return next((dict(f.metadata["release"]) for f in df.schema if "release" in f.metadata), {})
+
+
+def write_audit(audit: DataFrame, folder: str, name: str, date: str) -> None:
+    """An audit as CSV, all quoted, by body and falling share, under a stable and a dated name; an empty audit
+    is written as well. Sorting is by range, so no task holds all rows but for the one file at the end, which
+    an audit of repeated sentences fits."""
+    rows = audit.orderBy(F.col("body").asc_nulls_last(), F.col("pct_of_bin").desc(), "key")
+    for stem in (name, f"{name}-{date.replace('-', '')}"):
+        write_csv(rows, f"{folder}/{stem}.csv")
 
 
 def to_push(local: DataFrame, remote: DataFrame) -> DataFrame:
@@ -74,7 +94,17 @@ def required(names: list[str], environment: dict[str, str] | None = None) -> dic
 
 
 def step_summary(report: DataFrame, title: str, most: int = 50) -> str:
-    """A small report as a Markdown table for a build's summary page."""
-    rows = report.limit(most).collect()
+    """The first rows of a report as a Markdown table for a build's summary page; a last line says how many
+    there are where not all are shown."""
+    rows = report.limit(most + 1).collect()
+    more = f"\n\nThe first {most} of {report.count()} rows." if len(rows) > most else ""
+    rows = rows[:most]
     head = "| " + " | ".join(report.columns) + " |\n|" + " --- |" * len(report.columns)
-    return f"### {title}\n\n{head}\n" + "\n".join("| " + " | ".join("" if v is None else str(v) for v in r) + " |" for r in rows)
+    return f"### {title}\n\n{head}\n" + "\n".join("| " + " | ".join("" if v is None else str(v) for v in r) + " |" for r in rows) + more
+
+
+def warnings_of(findings: DataFrame, most: int = 50) -> list[str]:
+    """Findings as annotation lines of a build service, the failures first; a last line tells of further ones."""
+    rows = findings.orderBy("severity", "label", "detail").limit(most + 1).collect()
+    lines = [f"::{'error' if r['severity'] == 'FAIL' else 'warning'}::{r['label']}: {r['n']} ({r['detail']})" for r in rows[:most]]
+    return lines + ([f"::warning::more than {most} findings"] if len(rows) > most else [])

@@ -46,9 +46,19 @@ def ingest(spark: SparkSession, folder: str, target: str, log: str, checkpoint:
 
 
 def quarter_counts(events: DataFrame, time: str, key: str, late: str = "28 days") -> DataFrame:
-    """Counts by calendar quarter and key of a stream; events later than ``late`` are left out."""
+    """Counts by day, calendar quarter and key of a stream; events later than ``late`` are left out.
+
+    A calendar quarter is no window of fixed length, so days are the windows by which the watermark drops
+    state: what is held is ``late`` and no more. Write in ``update`` mode and sum with ``quarter_totals``.
+    """
     quarter = F.date_trunc("QUARTER", time)
-    return events.withWatermark(time, late).groupBy(F.window(time, "1 day"), quarter.alias("quarter"), key).agg(F.count(F.lit(1)).alias("n"))
+    return events.withWatermark(time, late).groupBy(F.window(time, "1 day")["start"].alias("day"), quarter.alias("quarter"), key).agg(F.count(F.lit(1)).alias("n"))
+
+
+def quarter_totals(updates: DataFrame, key: str, batch: str = "batch") -> DataFrame:
+    """Counts by quarter and key from the written updates: of each day the last batch counts."""
+    days = updates.groupBy("day", "quarter", key).agg(F.max_by("n", batch).alias("n"))
+    return days.groupBy(F.to_date("quarter").alias("quarter"), key).agg(F.sum("n").alias("n"))
 
 
 def first_seen(events: DataFrame, keys: list[str], time: str, late: str = "28 days") -> DataFrame:
