@@ -22,6 +22,13 @@ CASES = {
 }
 
 
+ZONED = {
+    "2024-05-01 17:00 America/New_York": "2024-05-01T21:00:00Z", "2024-05-01 17:00 Asia/Tokyo": "2024-05-01T08:00:00Z", "2024-01-15 09:00 America/Port-au-Prince": "2024-01-15T14:00:00Z",
+    "2024-05-01 17:00 America/Argentina/Buenos_Aires": "2024-05-01T20:00:00Z", "2024-05-01 17:00 Etc/GMT+10": "2024-05-02T03:00:00Z", "2024-07-01 17:00 Europe/Paris": "2024-07-01T15:00:00Z", "2024-05-01 17:00 US/Eastern": "2024-05-01T21:00:00Z",
+    "2024-05-01 17:00 Asia/Nowhere": None, "1 May 2024 5pm EST": None, "1 May 2024 5:00 pm (WAST)": None, "1 May 2024 EST": "2024-05-01", "1 May 2024 5pm SHARP": "2024-05-01T07:00:00Z",
+}
+
+
 @pytest.fixture(scope="module")
 def convert():
     tool = Normaliser(zone_tables(), "Australia/Sydney")
@@ -34,6 +41,11 @@ def convert():
     return one
 
 
+@pytest.mark.parametrize("text", list(ZONED))
+def test_zones_of_the_world_and_unknown_ones(convert, text):
+    assert convert(text) == ZONED[text]
+
+
 @pytest.mark.parametrize("text", list(CASES))
 def test_forms(convert, text):
     assert convert(text) == CASES[text]

@@ -1,8 +1,8 @@
 """Time-zone transition tables as plain arrays.
 
-A table is built once on the driver, from the zone database at hand, and is shipped with the
-function that uses it; every executor therefore converts by the same version of the rules, whatever
-its own database holds.
+The driver reads the files of all zones of its database once and ships them with the function that uses
+them (some 600 files, about 1 MB); a worker builds the table of a zone when it first meets it. Every executor
+therefore converts by the same version of the rules, whatever its own database holds.
 """
 
 from __future__ import annotations
@@ -10,8 +10,10 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
 from functools import lru_cache
+from importlib import resources
+from io import BytesIO
 from pathlib import Path
-from zoneinfo import TZPATH, ZoneInfo
+from zoneinfo import TZPATH, ZoneInfo, available_timezones
 
 import numpy as np
 
@@ -63,9 +65,10 @@ def _offset(zone: ZoneInfo, at: int) -> int:
 
 
 @lru_cache(maxsize=None)
-def zone_table(name: str) -> ZoneTable:
-    """Build the table of ``name`` by looking for offset changes and bisecting them to the second."""
-    zone = ZoneInfo(name)
+def zone_table(name: str, file: bytes | None = None, version: str | None = None) -> ZoneTable:
+    """Build the table of ``name`` by looking for offset changes and bisecting them to the second. ``file``:
+    the zone's compiled rules, without which those of the database at hand are taken."""
+    zone = ZoneInfo.from_file(BytesIO(file), key=name) if file else ZoneInfo(name)
     day = 86400
     start = int(datetime(SPAN[0], 1, 1, tzinfo=timezone.utc).timestamp())
     end = int((datetime(SPAN[1], 1, 1, tzinfo=timezone.utc) + timedelta(days=1)).timestamp())
@@ -84,9 +87,47 @@ def zone_table(name: str) -> ZoneTable:
             starts.append(high)
             offsets.append(new)
         at = after
-    return ZoneTable(name, np.array(starts, dtype=np.int64), np.array(offsets, dtype=np.int64), database_version())
+    return ZoneTable(name, np.array(starts, dtype=np.int64), np.array(offsets, dtype=np.int64), version or database_version())
 
 
 def fixed_table(name: str, seconds: int) -> ZoneTable:
     """A zone that never changes."""
     return ZoneTable(name, np.array([np.iinfo(np.int64).min // 4]), np.array([seconds]), "fixed")
+
+
+@lru_cache(maxsize=1)
+def zone_files() -> dict[str, bytes]:
+    """The compiled rules of every zone of the database that is named by a region and place; short names
+    such as EST, which mean different clocks in different countries, are left out."""
+    found = {}
+    for name in sorted(n for n in available_timezones() if "/" in n):
+        place = next((p for p in (Path(root, name) for root in TZPATH) if p.is_file()), None)
+        try:
+            data = place.read_bytes() if place else resources.files("tzdata").joinpath("zoneinfo", *name.split("/")).read_bytes()
+        except (OSError, ModuleNotFoundError):
+            continue
+        if data.startswith(b"TZif"):
+            found[name] = data
+    return found
+
+
+@dataclass
+class Zones:
+    """Tables by lower-case name, built when first asked for: zones of the database, fixed offsets by
+    abbreviation (seconds east) and places by the zone whose clock they keep."""
+
+    files: dict[str, bytes]
+    version: str
+    fixed: dict[str, int] = field(default_factory=dict)
+    places: dict[str, str] = field(default_factory=dict)
+
+    def __post_init__(self) -> None:
+        self.names = {n.lower(): n for n in self.files}
+
+    def get(self, name: str) -> ZoneTable | None:
+        """The table of a name, None for a name that is not known."""
+        name = self.places.get(name, name).lower()
+        if name in self.fixed:
+            return fixed_table(name, self.fixed[name])
+        full = self.names.get(name)
+        return zone_table(full, self.files[full], self.version) if full else None

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.zones import ZoneTable, fixed_table, zone_table
+from tidemark.functions.zones import Zones, database_version, zone_files
 
 MONTHS = "january february march april may june july august september october november december".split()
 WEEKDAYS = "monday tuesday wednesday thursday friday saturday sunday".split()
@@ -36,7 +36,10 @@ PLACES = {
     "wellington": "Pacific/Auckland", "london": "Europe/London",
 }
 
-_ZONE_PATH = r"(?:Australia|Pacific|Antarctica|Europe|America|Asia|Africa|Atlantic|Indian|Etc)/[A-Za-z_]+(?:/[A-Za-z_]+)?"
+_PART = r"[A-Za-z_]+(?:-[A-Za-z_]+)*"
+_ZONE_PATH = rf"(?:Australia|Pacific|Antarctica|Arctic|Europe|America|Asia|Africa|Atlantic|Indian|Etc|US|Canada|Brazil|Chile|Mexico)/{_PART}(?:/{_PART})?(?:(?<=GMT)[+-]\d{{1,2}})?"
+#: What looks like a zone's abbreviation; one that is not known leaves no instant.
+_ABBREVIATION = re.compile(r"[A-Z]{2,4}T")
 _TOKEN = re.compile(rf"{_ZONE_PATH}|[ap]\.\s?m\.?|[A-Za-z]+|\d+|\s+|.", re.IGNORECASE | re.DOTALL)
 
 
@@ -75,6 +78,8 @@ def shape(text: str) -> tuple[str, list[str]]:
             kind = _WORDS[low][0]
         elif "/" in token and len(token) > 1:
             kind = "r"
+        elif _ABBREVIATION.fullmatch(token):
+            kind = "u"
         elif token[0].isalpha():
             kind = "x"
         else:
@@ -145,25 +150,26 @@ def parser_of(mask: str) -> Parser | None:
             if offset := (_OFFSET.match(tail) or _SHORT_OFFSET.match(tail)):
                 at |= {k: time.end() + offset.start(k) for k, v in offset.groupdict().items() if v}
             break
-    if "zone" not in at and "zone_hour" not in at and (zone := re.search("[zrc]", rest)):
-        at["zone"] = zone.start()
+    if "zone" not in at and "zone_hour" not in at and (zone := re.search("[zrc]", rest) or (re.match(r" *[(\[]? *u", rest[time.end() :]) if time else None)):
+        at["zone"] = zone.start() if zone[0][-1] != "u" else time.end() + zone.end() - 1
     return Parser(kind, swap=kind == "numbers", **at)
 
 
 class Normaliser:
     """Turns texts into closing forms; keeps one parser per mask for the life of a worker.
 
-    ``zones``: the transition tables by lower-case name, ``default``: the one used without a zone.
+    ``zones``: the transition tables by lower-case name, ``default``: the one used without a zone. A text with
+    a zone that ``zones`` does not know gives nothing and is marked.
     """
 
-    def __init__(self, zones: dict[str, ZoneTable], default: str):
+    def __init__(self, zones: Zones, default: str):
         self.zones, self.default = zones, default.lower()
         self.parsers: dict[str, Parser | None] = {}
 
     def __call__(self, texts: pd.Series) -> pd.DataFrame:
         n = len(texts)
         instant = np.zeros(n, dtype=np.int64)
-        state = np.zeros(n, dtype=np.int8)  # 0 nothing, 1 a date, 2 an instant
+        state = np.zeros(n, dtype=np.int8)  # 0 nothing, 1 a date, 2 an instant, -1 an unknown zone
         by_mask: dict[str, tuple[list[int], list[list[str]]]] = {}
         masks = np.full(n, None, dtype=object)
         for i, text in enumerate(texts):
@@ -179,7 +185,7 @@ class Normaliser:
             if parser := self.parsers[mask]:
                 seconds, what = self._convert(parser, np.array(parts, dtype=object))
                 instant[rows], state[rows] = seconds, what
-        return pd.DataFrame({"seconds": instant, "state": state, "mask": masks})
+        return pd.DataFrame({"seconds": instant, "state": np.maximum(state, 0), "mask": masks, "unknown": state < 0})
 
     @staticmethod
     def _numbers(parts: np.ndarray, at: int, default: int = 0) -> np.ndarray:
@@ -246,23 +252,23 @@ class Normaliser:
         utc = wall.copy()
         for name in set(names):
             rows = np.array([x == name for x in names])
-            utc[rows] = self.zones.get(name, self.zones[self.default]).to_utc(wall[rows])
+            if (table := self.zones.get(name)) is None:
+                state[rows & (state == 2)] = -1
+            else:
+                utc[rows] = table.to_utc(wall[rows])
         return np.where(state == 2, utc, wall), state
 
 
-def zone_tables(extra: tuple[str, ...] = ()) -> dict[str, ZoneTable]:
-    """Tables by lower-case name: abbreviations, places, and the zones behind them or in ``extra``."""
-    tables = {k: fixed_table(k, v) for k, v in ABBREVIATIONS.items()}
-    for name in {*PLACES.values(), *extra, "Australia/ACT", "Australia/Lord_Howe", "Australia/Broken_Hill", "Etc/UTC"}:
-        tables[name.lower()] = zone_table(name)
-    return tables | {k: tables[v.lower()] for k, v in PLACES.items()}
+def zone_tables() -> Zones:
+    """All zones of the database, the abbreviations and the places."""
+    return Zones(zone_files(), database_version(), ABBREVIATIONS, PLACES)
 
 
 def normaliser_udf(default_zone: str = "Australia/Sydney") -> Callable[[Column], Column]:
-    """A vectorised function: text to ``struct<closing_norm, instant_utc, plain_date, mask>``."""
-    convert = Normaliser(zone_tables((default_zone,)), default_zone)
+    """A vectorised function: text to ``struct<closing_norm, instant_utc, plain_date, mask, zone_unknown>``."""
+    convert = Normaliser(zone_tables(), default_zone)
 
-    @F.pandas_udf("closing_norm string, instant_utc timestamp, plain_date date, mask string")
+    @F.pandas_udf("closing_norm string, instant_utc timestamp, plain_date date, mask string, zone_unknown boolean")
     def normalise(texts: pd.Series) -> pd.DataFrame:
         out = convert(texts)
         stamp = out.seconds.to_numpy().astype("datetime64[s]")
@@ -274,7 +280,7 @@ def normaliser_udf(default_zone: str = "Australia/Sydney") -> Callable[[Column],
             "closing_norm": norm,
             "instant_utc": pd.Series(pd.to_datetime(stamp, utc=True, errors="coerce")).where(state == 2),
             "plain_date": pd.Series(stamp.astype("datetime64[D]").astype(object)).where(state == 1),
-            "mask": out["mask"],
+            "mask": out["mask"], "zone_unknown": out["unknown"],
         })
 
     return normalise.asNondeterministic()  # else a filter on the result would convert every text twice
@@ -284,7 +290,8 @@ def normalise_timestamps(df: DataFrame, column: str, into: str = "closing", defa
     """Add ``into``, a struct with the normal form of ``df[column]``.
 
     ``closing_norm`` is ``yyyy-MM-ddTHH:mm:ssZ`` where a time of day is given and ``yyyy-MM-dd`` where
-    not; ``instant_utc`` or ``plain_date`` hold the same as a value. Null, empty and very long texts
+    not; ``instant_utc`` or ``plain_date`` hold the same as a value; ``zone_unknown`` marks a time of day whose
+    zone is named but not known, which gives nulls. Null, empty and very long texts
     without a date, and dates that do not exist, give nulls. A real date with an impossible time is a
     plain date. No shuffle: equal texts are converted where they lie.
     """

@@ -31,7 +31,7 @@ def p2_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = table(spark, sf_dir, "gazette_vacancies_raw", "closing_date_raw").where("closing_date_raw is not null")
     done = normalise_timestamps(raw, "closing_date_raw")
     return done.groupBy(F.col("closing.mask").alias("mask")).agg(
-        F.count(F.lit(1)).alias("n"), F.count("closing.closing_norm").alias("n_read")
+        F.count(F.lit(1)).alias("n"), F.count("closing.closing_norm").alias("n_read"), F.count_if("closing.zone_unknown").alias("n_unknown_zone")
     )
 
 
