@@ -3,10 +3,12 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import mixing as M
 from tidemark.llm import packing as K
 from tidemark.llm import queries as Q
+from tidemark.llm.sums import sums_before
 from tidemark.llm.tokens import TOKENIZER, counter, with_token_counts
 
 ITEMS = "doc long, source string, n_tokens long"
@@ -66,10 +68,61 @@ def test_full_pieces_count_in_the_mixture(spark):
     assert [r["source"] for r in placed[:4]].count("b") >= 3
 
 
-def test_too_many_kinds_of_containers_are_an_error(spark, tmp_path):
-    spark.range(101).selectExpr("concat('k', id) AS container_kind", "int(id + 1) AS capacity_tokens").write.parquet(f"{tmp_path}/container_sizes.parquet")
-    with pytest.raises(ValueError, match="kinds"):
-        Q._containers(spark, str(tmp_path))
+def test_any_number_of_kinds_is_packed(spark, tmp_path):
+    spark.range(101).selectExpr("concat('k', id) AS container_kind", "id + 1 AS capacity_tokens").write.parquet(f"{tmp_path}/container_sizes.parquet")
+    kinds = Q._containers(spark, str(tmp_path))
+    assert len(kinds) == 101
+    placed = K.pack_kinds(spark.createDataFrame([(1, "a", 70), (2, "b", 30)], ITEMS), kinds)
+    used = {r["container_kind"]: r["n"] for r in placed.selectExpr("container_kind", "token_end - token_start AS n").groupBy("container_kind").sum("n").toDF("container_kind", "n").collect()}
+    assert used == dict.fromkeys(kinds, 100)
+
+
+def plain_packing(rows, capacity):
+    """Windows of one shard by the rule itself, every choice among all items."""
+    left = [(s or "", n, d) for d, s, n in rows if n]
+    total = sum(n for _, n, _ in left)
+    shares = {s: sum(n for t, n, _ in left if t == s) / total for s, _, _ in left}
+    owed, windows = dict.fromkeys(shares, 0.0), []
+    while left:
+        for s in owed:
+            owed[s] += shares[s] * capacity
+        large = {s for s, n, _ in left if 2 * n > capacity}
+        window, room = [], capacity
+        while True:
+            fits = [x for x in left if x[1] <= room]
+            if not fits:
+                break
+            pool = {s for s, _, _ in fits} if window or not large else large
+            s = max(pool, key=lambda s: (owed[s], s))
+            item = max((x for x in fits if x[0] == s), key=lambda x: (x[1], x[2]))
+            left.remove(item)
+            window.append(item[2])
+            room -= item[1]
+            owed[s] -= item[1]
+        windows.append(window)
+    return sorted(map(tuple, windows))
+
+
+def test_packing_as_by_trying_all_items(spark):
+    rng = random.Random(4)
+    rows = [(i, rng.choice(["hot"] * 4 + ["a", "b", None]), rng.randrange(1, 100)) for i in range(300)]
+    placed = K.pack(spark.createDataFrame(rows, ITEMS), 101).toPandas().sort_values("position")
+    assert sorted(tuple(g["doc"]) for _, g in placed.groupby("container")) == plain_packing(rows, 101)
+
+
+def test_sources_may_be_many(spark):
+    df = spark.range(100_001).selectExpr("id AS doc", "concat('s', id) AS source", "1 + id % 7 AS n_tokens")
+    placed = K.pack(df, 64, shard_tokens=20_000)
+    assert placed.selectExpr("count(*)", "sum(token_end - token_start)").first() == (100_001, sum(1 + i % 7 for i in range(100_001)))
+
+
+def test_running_sums(spark):
+    rng = random.Random(6)
+    rows = [(k, i, rng.randrange(9)) for k in "ab" for i in rng.sample(range(500), 300)]
+    for keys in (["k"], []):
+        mine = [r for r in rows if keys or r[0] == "a"]
+        got = {(r["k"], r["i"]): r["s"] for r in sums_before(spark.createDataFrame(mine, "k string, i int, v int"), keys, "i", {"s": F.col("v")}, width=7).collect()}
+        assert got == {(k, i): sum(w for q, j, w in mine if q == k and j < i) for k, i, _ in mine}
 
 
 def test_packing_of_nothing(spark):

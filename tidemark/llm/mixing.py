@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.sums import sums_before
+
 #: Items of one bucket of the prefix sums, on average.
 BUCKET_ITEMS = 50_000
 
@@ -25,12 +27,14 @@ BUCKET_ITEMS = 50_000
 @dataclass(frozen=True)
 class Settings:
     """``block``: tokens of a block; ``shard_blocks``: blocks of an output shard; ``total``: tokens of the
-    output (None: as many as the targeted sources hold once); ``seed``: of all draws."""
+    output (None: as many as the targeted sources hold once); ``seed``: of all draws; ``most_targets``: as
+    each shard draws from all targets at once, more of them are an error."""
 
     block: int = 256
     shard_blocks: int = 1024
     total: int | None = None
     seed: int = 17
+    most_targets: int = 100_000
 
 
 def laid_out(items: DataFrame, bucket_items: int = BUCKET_ITEMS) -> DataFrame:
@@ -42,8 +46,7 @@ def laid_out(items: DataFrame, bucket_items: int = BUCKET_ITEMS) -> DataFrame:
     buckets = max(1, math.ceil(count / bucket_items))
     keyed = items.withColumn("bucket", F.pmod(F.xxhash64("doc"), F.lit(buckets)).cast("int"))
     sums = keyed.groupBy("source", "bucket").agg(F.sum("n_tokens").alias("n"))
-    earlier = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select("source", "bucket", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
+    sums = sums_before(sums, ["source"], "bucket", {"base": F.col("n")}).select("source", "bucket", "base")
     inside = Window.partitionBy("source", "bucket").orderBy(F.xxhash64("doc", F.lit(1)), "doc").rowsBetween(Window.unboundedPreceding, -1)
     keyed = keyed.withColumn("within", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
     return keyed.join(sums, ["source", "bucket"]).select("doc", "source", "n_tokens", (F.col("base") + F.col("within")).alias("begin"))
@@ -116,9 +119,9 @@ def mix(items: DataFrame, targets: DataFrame, settings: Settings = Settings()) -
     spark = items.sparkSession
     wanted = targets.where("source is not null and target_share > 0 and max_repeats > 0").groupBy("source")
     wanted = wanted.agg(F.max("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats"))
-    goal = {r["source"]: (float(r["target_share"]), int(r["max_repeats"])) for r in wanted.limit(10_001).collect()}
-    if len(goal) > 10_000:
-        raise ValueError("more than 10,000 targets")
+    goal = {r["source"]: (float(r["target_share"]), int(r["max_repeats"])) for r in wanted.limit(settings.most_targets + 1).collect()}
+    if len(goal) > settings.most_targets:
+        raise ValueError(f"more than {settings.most_targets:,} targets")
     placed = laid_out(items.where("n_tokens > 0").join(F.broadcast(wanted.select("source")), "source", "left_semi"))
     have = {r["source"]: int(r["n"]) for r in placed.groupBy("source").agg(F.sum("n_tokens").alias("n")).collect()}
     held = {s: math.ceil(n / settings.block) for s, n in have.items()}
@@ -154,24 +157,28 @@ def mix(items: DataFrame, targets: DataFrame, settings: Settings = Settings()) -
                 given[other] += take
                 at, over = at + take, over - take
 
-    earlier = Window.partitionBy("source").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    numbered = counts.withColumn("base", F.coalesce(F.sum("n").over(earlier), F.lit(0))).where("n > 0")
+    numbered = sums_before(counts.where("n > 0"), ["source"], "shard", {"base": F.col("n")})
     slots = numbered.select("shard", "source", F.explode(F.sequence(F.col("base"), F.col("base") + F.col("n") - 1)).alias("number"))
-    source, number = F.col("source"), F.col("number")
+    place = {n: i for i, n in enumerate(names)}
+    ranges: dict[str, list[tuple]] = {}
     for s, a, b, other, start in moves:
-        moved = (F.col("source") == s) & (F.col("number") >= a) & (F.col("number") < b)
-        source, number = F.when(moved, F.lit(other)).otherwise(source), F.when(moved, F.col("number") - a + start).otherwise(number)
-    slots = slots.select("shard", source.alias("source"), number.alias("number"))
-
-    @F.pandas_udf("bigint")
-    def index(source: pd.Series, number: pd.Series) -> pd.Series:
-        size = source.map(held).to_numpy(dtype=np.int64)
-        turn = number.to_numpy(dtype=np.int64) // size
-        key = np.array([names.index(s) for s in source], dtype=np.int64) * 1_000_003 + turn * 7919 + settings.seed
-        return pd.Series(permute(number.to_numpy(dtype=np.int64) % size, size, key))
-
-    sizes = F.create_map(*[x for s in names for x in (F.lit(s), F.lit(held[s]))]) if names else F.create_map(F.lit(""), F.lit(1))
-    slots = slots.withColumns({"block": index("source", "number"), "repeat": F.floor(F.col("number") / sizes[F.col("source")])})
+        ranges.setdefault(s, []).append((a, b, other, start))
+
+    @F.pandas_udf("source string, block bigint, repeat bigint, number bigint")
+    def block_of(source: pd.Series, number: pd.Series) -> pd.DataFrame:
+        taken, at = source.to_numpy(dtype=object).copy(), number.to_numpy(dtype=np.int64).copy()
+        for s in ranges.keys() & set(taken):  # what is beyond a source's room comes from others
+            mine = np.flatnonzero(taken == s)
+            for a, b, other, start in ranges[s]:
+                moved = mine[(at[mine] >= a) & (at[mine] < b) & (taken[mine] == s)]
+                at[moved] += start - a
+                taken[moved] = other
+        size = np.array([held[s] for s in taken], dtype=np.int64)
+        turn = at // np.maximum(size, 1)
+        key = np.array([place[s] for s in taken], dtype=np.int64) * 1_000_003 + turn * 7919 + settings.seed
+        return pd.DataFrame({"source": taken, "block": permute(at % np.maximum(size, 1), size, key), "repeat": turn, "number": at})
+
+    slots = slots.select("shard", block_of.asNondeterministic()("source", "number").alias("b")).select("shard", "b.*")
     mixed_up = Window.partitionBy("shard").orderBy(F.xxhash64("shard", "source", "number"), "source", "number")
     slots = slots.withColumn("slot", F.row_number().over(mixed_up) - 1).select("shard", "slot", "source", "block", "repeat")
     drawn_pieces = slots.join(block_pieces(placed, settings.block), ["source", "block"])

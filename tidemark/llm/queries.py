@@ -106,31 +106,21 @@ def _sized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut(with_token_counts(docs, "text").select(F.col("doc_id").alias("doc"), "source", "n_tokens"))
 
 
-def _containers(spark: SparkSession, sf_dir: str) -> list[tuple[str, int, DataFrame]]:
-    kinds = table(spark, sf_dir, "container_sizes").where("capacity_tokens > 0").distinct().limit(101).collect()
-    if len(kinds) > 100:
-        raise ValueError("more than 100 kinds of containers")
-    kinds.sort(key=lambda k: k["capacity_tokens"])
-    items = _sized(spark, sf_dir)
-    return [(k["container_kind"], k["capacity_tokens"], packing.pack(items, k["capacity_tokens"])) for k in kinds]
+def _containers(spark: SparkSession, sf_dir: str) -> dict[str, int]:
+    """Capacity by kind of container, a small table of settings; of a kind given twice the larger counts."""
+    kinds = table(spark, sf_dir, "container_sizes").where("capacity_tokens > 0 and container_kind is not null")
+    return {r["container_kind"]: r["size"] for r in kinds.groupBy("container_kind").agg(F.max("capacity_tokens").alias("size")).collect()}
 
 
 def p8_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where each text, or piece of an oversized text, lies, for every kind of container."""
-    parts = [placed.withColumn("container_kind", F.lit(kind)) for kind, _, placed in _containers(spark, sf_dir)]
-    union = parts[0]
-    for part in parts[1:]:
-        union = union.unionByName(part)
-    return union
+    return packing.pack_kinds(_sized(spark, sf_dir), _containers(spark, sf_dir))
 
 
 def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How full the containers of each kind are."""
-    parts = [packing.fill_report(placed, size).withColumns({"container_kind": F.lit(kind), "capacity": F.lit(size)}) for kind, size, placed in _containers(spark, sf_dir)]
-    union = parts[0]
-    for part in parts[1:]:
-        union = union.unionByName(part)
-    return union
+    """How full the containers of each kind are, and how far from the mixture."""
+    kinds = _containers(spark, sf_dir)
+    return packing.fill_reports(packing.pack_kinds(_sized(spark, sf_dir), kinds), kinds)
 
 
 def p9_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
