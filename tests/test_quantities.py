@@ -53,3 +53,32 @@ def test_missing_unit_table_gives_nothing():
 @pytest.mark.parametrize("text", ["9" * 5000, "$" * 5000, " " * 5000])
 def test_long_texts(text):
     read_amounts(text)
+
+
+def test_the_identity_decides_where_no_unit_is_printed():
+    units = {"hour": 1950, "day": 260, "week": 52, "fortnight": 26, "month": 12, "year": 1}
+    one = lambda x, unit=None: [(int(x * 10_000), False, unit)]
+    for pay, unit in ((45, "hour"), (1_730, "week"), (3_450, "fortnight"), (7_500, "month"), (91_000, "year")):
+        low, high, found, residual, unique = solve(one(pay), None, None, None, units, 0.05, expected=90_000, assumed=None)
+        assert (low, high, found, unique) == (pay * units[unit], pay * units[unit], unit, True) and residual < 0.1
+    # weekly hours change what an hour is worth
+    assert solve(one(60), None, None, 300_000, units, 0.05, expected=93_600, assumed=None)[:3] == (93_600, 93_600, "hour")
+    # without anything to go by every unit is as good, which is flagged
+    assert solve(one(45), None, None, None, units, 0.05, assumed=None)[4] is False
+    # two units that come close to what is expected are flagged
+    assert solve(one(100), None, None, None, {"week": 52, "month": 50}, 0.05, expected=5_100, assumed=None)[4] is False
+    # a printed unit stays, but is flagged where it is far from what is expected
+    assert solve(one(85_000, "hour"), None, None, None, units, 0.05, expected=90_000)[2:5:2] == ("hour", False)
+    assert solve(one(10**14, "hour"), None, None, None, units, 0.05, expected=90_000)[4] is False
+    # the year is assumed unless the ends say otherwise, and one end may have another unit than the other
+    assert solve(one(85_000), None, None, None, units, 0.05)[2:5:2] == ("year", True)
+    assert solve(one(87_750) + one(46.5, "hour"), None, None, None, units, 0.05)[:2] == (87_750, 90_675)
+    assert solve(one(1_000) + one(5_000, "month"), None, None, None, units, 0.05)[:2] == (12_000, 60_000)
+
+
+def test_expected_pay_as_a_column(spark):
+    rows = [(1, "$45", 90_000.0), (2, "$45", None), (3, "$1,730 - $1,800", 90_000.0), (4, None, 1.0), (5, "", -1.0), (6, "$45", float("nan"))]
+    df = spark.createDataFrame([(i, t, e, "") for i, t, e in rows], "id int, t string, e double, d string")
+    units = {"hour": 1950, "week": 52, "year": 1}
+    got = {r["id"]: (r["pay"]["low"], r["pay"]["high"], r["pay"]["is_unique"]) for r in to_common_unit(df, "t", "d", units, expected="e", assumed=None).collect()}
+    assert got[1] == (87_750, 87_750, True) and got[2][2] is False and got[3] == (89_960, 93_600, True) and got[4] == got[5] == (None, None, None) and got[6][2] is False

@@ -1,10 +1,13 @@
 """Quantities printed in different units and scales to one unit.
 
 The identity is ``yearly = amount x scale x times_per_year`` (for pay by the hour with weekly hours:
-``x hours x 52``). What is printed leaves some factors open: a thousands mark on one end of a range
-may or may not serve the other, a unit may stand on one end only. All combinations the text allows are
-tried and the one whose two ends differ least (the smallest absolute logarithm of their quotient) is
-taken; a row for which another combination comes as close but gives other amounts is flagged.
+``x hours x 52``), for both ends of a range and, where another column says what a year's pay comes to (the
+median of a grade, say), for that too. What is printed leaves some factors open: a thousands mark on one end
+may or may not serve the other, a unit may stand on one end only, in the describing text or nowhere. All
+combinations of scales and units are tried. A combination's residual is the absolute logarithm of the quotient
+of its ends, plus that of its middle and the expected pay, plus ``MIXED`` where an end gets a unit that neither
+it nor the text gives it. The smallest residual is taken; a row for which a combination with other amounts
+comes as close is flagged, and so is one whose best combination is far from the expected pay.
 
 The long describing text is searched by the JVM and only where the short one names no unit; Python sees
 short texts, in Arrow batches. One scan, no shuffle. Amounts are whole ten-thousandths, so rounding is
@@ -13,11 +16,11 @@ exact.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterable
 from itertools import product
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,6 +50,10 @@ UNIT_LINE = (
     r"(?im)^[^a-z\n]*(?:[a-z]+ ){0,6}?(?:amounts?|figures?|rates?|sums?|pay|remuneration|salar(?:y|ies)|wages?)\b"
     r"[^.\n]{0,40}?\b(hour(?:ly)?|daily|day|week(?:ly)?|fortnight(?:ly)?|month(?:ly)?|year(?:ly)?|annum|annual(?:ly)?)\b"
 )
+#: Residual of a unit that is not printed where another one is: as much as a factor of about twelve.
+MIXED = 2.5
+#: Beyond this distance from the expected pay no combination counts as certain.
+FAR = math.log(4)
 #: Amounts are counted in this part of a dollar, times in the same part of one.
 _PART = 10_000
 #: Most amounts of one text whose open scales are all tried together.
@@ -79,60 +86,73 @@ def read_amounts(text: str) -> tuple[list[tuple[int, bool, str | None]], str | N
 
 def solve(
     amounts: list[tuple[int, bool, str | None]], head: str | None, described: str | None, hours: int | None,
-    per_year: dict[str, int], tolerance: float,
+    per_year: dict[str, int], tolerance: float, expected: float | None = None, assumed: str | None = "year",
 ) -> tuple[int, int, str, float, bool] | None:
     """The combination of units and scales with the smallest residual: low, high, unit, residual, unique.
 
-    Of more than two amounts the least and the greatest are the ends; of more than ``_MOST_OPEN`` the
-    scales are taken as printed and the row counts as not unique."""
+    ``expected``: a year's pay known from elsewhere. ``assumed``: the unit that holds where none is printed;
+    with None all units are alike then and the residual decides. Of more than two amounts the least and the
+    greatest are the ends; of more than ``_MOST_OPEN`` the scales are taken as printed and the row counts as
+    not unique. A printed unit that ``per_year`` lacks gives nothing."""
     if not amounts or min(a[0] for a in amounts) <= 0:
         return None
-    default = head or next((u for *_, u in amounts if u), None) or described or "year"
+    stated = head or next((u for *_, u in amounts if u), None) or described or assumed
+    if stated is not None and stated not in per_year and not (stated == "hour" and hours):
+        return None
 
     def times(unit: str) -> int | None:
         return hours * 52 if unit == "hour" and hours else per_year[unit] * _PART if unit in per_year else None
 
     marks = any(m for _, m, _ in amounts)
-    ends = []
-    for value, mark, unit in amounts:
-        unit = unit or default
-        if (by := times(unit)) is None:
-            return None
-        scales = (1000,) if mark else (1, 1000) if marks else (1,)
-        ends.append([((value * scale * by + _PART * _PART // 2) // (_PART * _PART), value * scale * by, unit) for scale in scales])
-    many = len(ends) > _MOST_OPEN
-    if many:
-        ends = [e[:1] for e in ends]
+    many = len(amounts) > _MOST_OPEN
+    # ends without a unit of their own share one: the one stated, or at a price any other
+    shared = [(stated, 0.0)] if stated else []
+    if any(u is None for *_, u in amounts):
+        shared += [(u, MIXED if stated else 0.0) for u in per_year if u != stated]
     options = []
-    for chosen in product(*ends):
-        first, last = (chosen[0], chosen[-1]) if len(chosen) < 3 else (min(chosen, key=lambda e: e[1]), max(chosen, key=lambda e: e[1]))
-        options.append((abs(float(np.log(last[1] / first[1]))), first[0], last[0], chosen[0][2]))
+    for unit, price in shared:
+        ends = []
+        for value, mark, own in amounts:
+            if (by := times(own or unit)) is None:
+                return None
+            scales = (1000,) if mark else (1, 1000) if marks and not many else (1,)
+            ends.append([((value * scale * by + _PART * _PART // 2) // (_PART * _PART), value * scale * by, own or unit) for scale in scales])
+        for chosen in product(*ends):
+            first, last = (chosen[0], chosen[-1]) if len(chosen) < 3 else (min(chosen, key=lambda e: e[1]), max(chosen, key=lambda e: e[1]))
+            residual = price + abs(math.log(last[1]) - math.log(first[1]))
+            if expected and expected > 0:
+                residual += abs((math.log(first[1]) + math.log(last[1])) / 2 - math.log(expected * _PART * _PART))
+            options.append((residual, first[0], last[0], chosen[0][2]))
     residual, a, b, unit = min(options)
     unique = not many and not any(r <= residual + tolerance and (x, y) != (a, b) for r, x, y, _ in options)
+    if expected and expected > 0 and abs((math.log(max(a, 1)) + math.log(max(b, 1))) / 2 - math.log(expected)) > FAR:
+        unique = False
     return min(a, b), max(a, b), unit, residual, unique
 
 
 def to_common_unit(
-    df: DataFrame, column: str, described_in: str, per_year: dict[str, int], into: str = "pay", tolerance: float = 0.05
+    df: DataFrame, column: str, described_in: str, per_year: dict[str, int], into: str = "pay", tolerance: float = 0.05,
+    expected: str | None = None, assumed: str | None = "year",
 ) -> DataFrame:
     """Add ``into``: ``struct<low BIGINT, high BIGINT, unit, residual DOUBLE, is_unique BOOLEAN>``.
 
     ``per_year`` says how often each unit falls in a year. Units come from ``column``, else from a line
-    of ``described_in``, else the year. Its fields are null for null or empty texts, texts without an
+    of ``described_in``, else ``assumed`` holds, or with None the residual decides. ``expected`` names a column
+    with a year's pay known from elsewhere (null or not positive: unknown). Its fields are null for null or empty texts, texts without an
     amount, amounts in another named currency, amounts of zero or of more than 15 signs, and units not in ``per_year``. Ends are
     put in ascending order. Rows are kept as they are, repeated ones too.
     """
 
     @F.pandas_udf("low bigint, high bigint, unit string, residual double, is_unique boolean")
-    def convert(texts: pd.Series, words: pd.Series, hours: pd.Series) -> pd.DataFrame:
+    def convert(texts: pd.Series, words: pd.Series, hours: pd.Series, known: pd.Series) -> pd.DataFrame:
         rows = []
-        for text, word, hour in zip(texts, words, hours):
+        for text, word, hour, pay in zip(texts, words, hours, known):
             found = None
             if isinstance(text, str) and not _FOREIGN.search(text):
                 amounts, head, own = read_amounts(text)
                 described = unit_of(word) if isinstance(word, str) else None
                 own = own or (_parts(hour) if isinstance(hour, str) and hour else None)
-                found = solve(amounts, head, described, own, per_year, tolerance)
+                found = solve(amounts, head, described, own, per_year, tolerance, float(pay) if pay == pay and pay is not None else None, assumed)
             rows.append(found or (None,) * 5)
         out = pd.DataFrame(rows, columns=["low", "high", "unit", "residual", "is_unique"])
         return out.astype({"low": "Int64", "high": "Int64", "residual": "float64", "is_unique": "boolean"})
@@ -141,8 +161,9 @@ def to_common_unit(
     counts = text.rlike(r"\d")
     word = F.when(counts & ~text.rlike(ANY_UNIT), F.regexp_extract(F.regexp_replace(long, r"[ \t]+", " "), UNIT_LINE, 1))
     hours = F.when(counts & ~text.rlike(r"(?i)" + _HOURS), F.regexp_extract(long, r"(?i)\b" + _HOURS, 1))
+    known = (F.col(expected) if expected else F.lit(None)).cast("double")
     # not deterministic: a filter on the result would otherwise convert every text twice
-    return df.withColumn(into, convert.asNondeterministic()(F.when(counts, text), word, hours))
+    return df.withColumn(into, convert.asNondeterministic()(F.when(counts, text), word, hours, known))
 
 
 def units_map(units: DataFrame, most: int = 1000) -> dict[str, int]:

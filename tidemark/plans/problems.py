@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.asof import join_as_known
 from tidemark.operators.quantities import UNIT_LINE, UNIT_WORDS, to_common_unit, units_map
 from tidemark.operators.timestamps import normalise_timestamps
+from tidemark.operators.relational import small_side
 from tidemark.sources.tables import table
 
 
@@ -52,9 +53,18 @@ def p3_as_known(spark: SparkSession, sf_dir: str) -> DataFrame:
     return known.join(register.dropDuplicates(["canonical_in_force"]), "canonical_in_force", "left")
 
 
-def _pay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = table(spark, sf_dir, "gazette_vacancies_raw", "notice_id", "salary", "description")
-    return to_common_unit(raw, "salary", "description", units_map(table(spark, sf_dir, "pay_units")))
+def _pay(spark: SparkSession, sf_dir: str, **by: str | None) -> DataFrame:
+    raw = table(spark, sf_dir, "gazette_vacancies_raw", "notice_id", "salary", "description", *(["classification"] if "expected" in by else []))
+    if "expected" in by:
+        raw = raw.join(small_side(_usual_pay(spark, sf_dir)), "classification", "left")
+    return to_common_unit(raw, "salary", "description", units_map(table(spark, sf_dir, "pay_units")), **by)
+
+
+def _usual_pay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The median of the stored bounds by grade, one row a grade."""
+    stored = table(spark, sf_dir, "aps_gazette_vacancies", "classification", "salary_min", "salary_max").where("classification is not null and salary_min > 0")
+    middle = F.sqrt(F.col("salary_min") * F.greatest("salary_min", F.coalesce("salary_max", "salary_min")))
+    return stored.groupBy("classification").agg(F.percentile_approx(middle, 0.5).alias("usual"))
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,8 +74,8 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p7_open_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Units found and how many amounts were open to another reading."""
-    pay = _pay(spark, sf_dir).where("pay.low is not null")
+    """Units found and how many amounts were open to another reading, or far from what their grade is paid."""
+    pay = _pay(spark, sf_dir, expected="usual").where("pay.low is not null")
     return pay.groupBy(F.col("pay.unit").alias("unit")).agg(
         F.count(F.lit(1)).alias("n"), F.count_if(~F.col("pay.is_unique")).alias("n_open"), F.round(F.max("pay.residual"), 6).alias("widest")
     )
