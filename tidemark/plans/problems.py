@@ -61,10 +61,14 @@ def _pay(spark: SparkSession, sf_dir: str, **by: str | None) -> DataFrame:
 
 
 def _usual_pay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The median of the stored bounds by grade, one row a grade."""
-    stored = table(spark, sf_dir, "aps_gazette_vacancies", "classification", "salary_min", "salary_max").where("classification is not null and salary_min > 0")
-    middle = F.sqrt(F.col("salary_min") * F.greatest("salary_min", F.coalesce("salary_max", "salary_min")))
-    return stored.groupBy("classification").agg(F.percentile_approx(middle, 0.5).alias("usual"))
+    """What a year's pay comes to by grade, one row a grade: the median of pay read by itself and of the stored
+    bounds of the same notices, which are an old reading that is often not by the year, so the first decide."""
+    raw = table(spark, sf_dir, "gazette_vacancies_raw", "classification", "salary", "description").where("classification is not null")
+    own = to_common_unit(raw, "salary", "description", units_map(table(spark, sf_dir, "pay_units"))).where("pay.low > 0")
+    own = own.select("classification", F.sqrt(F.col("pay.low").cast("double") * F.col("pay.high")).alias("middle"))
+    stored = table(spark, sf_dir, "aps_gazette_vacancies", "classification", "salary_min", "salary_max").where("classification is not null and salary_min >= 20000")
+    stored = stored.select("classification", F.sqrt(F.col("salary_min") * F.greatest("salary_min", F.coalesce("salary_max", "salary_min"))).alias("middle"))
+    return own.unionByName(stored).groupBy("classification").agg(F.percentile_approx("middle", 0.5).alias("usual"))
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
