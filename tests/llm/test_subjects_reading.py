@@ -118,6 +118,12 @@ def test_validation_by_source_holds_whole_sources_out(samples):
         R.fit(few, groups=["one"] * len(few))
 
 
+def test_strict_validation_keeps_a_fold_out_of_everything(samples):
+    few = sorted(samples)[:120]
+    model = R.fit(few, strict=True)
+    assert model.agreement > 0.8 and model.levels == R.fit(few).levels
+
+
 def test_levels_of_held_out_passages(samples):
     rng = random.Random(1)
     rng.shuffle(samples)

@@ -133,19 +133,20 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_sized(spark, sf_dir), table(spark, sf_dir, "mix_targets"))[1]
 
 
-def _graded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = reading.fitted(table(spark, sf_dir, "reading_samples"), "text", "reading_level")
-    return reading.grade(table(spark, sf_dir, "documents", "doc_id", "source", "text"), "text", model)
+def _graded(spark: SparkSession, sf_dir: str, strict: bool = False) -> tuple[DataFrame, reading.Model]:
+    model = reading.fitted(table(spark, sf_dir, "reading_samples"), "text", "reading_level", strict=strict)
+    return reading.grade(table(spark, sf_dir, "documents", "doc_id", "source", "text"), "text", model), model
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The level of every document of running English."""
-    return _graded(spark, sf_dir).where("reading_level is not null").select("doc_id", "reading_level").distinct()
+    return _graded(spark, sf_dir)[0].where("reading_level is not null").select("doc_id", "reading_level").distinct()
 
 
 def p10_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents by source and level."""
-    return reading.profile(_graded(spark, sf_dir), "source")
+    """Documents by source and level, beside the share of passages graded right that were not fitted on."""
+    graded, model = _graded(spark, sf_dir, strict=True)
+    return reading.profile(graded, "source").withColumn("agreement", F.lit(round(model.agreement, 4)))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_misses, p4_found, p4_redacted, p5_found, p5_shares, p6_found, p6_cut, p8_packed, p8_fill, p9_mixed, p9_shares, p10_found, p10_profile)}

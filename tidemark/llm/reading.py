@@ -251,11 +251,23 @@ def _cut_points(score: np.ndarray, levels: np.ndarray, kinds: list[int]) -> list
     return list(np.maximum.accumulate(cuts))
 
 
-def fit(samples: list[tuple[str, int]], settings: Settings = Settings(), groups: list[str | None] | None = None) -> Model:
+def _halved(passages: list[list[list[str]]], texts: list[str], levels: np.ndarray) -> np.ndarray:
+    """Features of passages, the vocabulary of each half measured on the other half."""
+    half = np.random.default_rng(5).permutation(len(passages)) % 2
+    rows: list[np.ndarray | None] = [None] * len(passages)
+    for h in (0, 1):
+        table = _grades([p for p, k in zip(passages, half) if k != h], levels[half != h])
+        for i in np.flatnonzero(half == h):
+            rows[i] = features(passages[i], texts[i], table)
+    return np.array(rows)
+
+
+def fit(samples: list[tuple[str, int]], settings: Settings = Settings(), groups: list[str | None] | None = None, strict: bool = False) -> Model:
     """Fit on graded passages of two levels at least (else no text gets a level); vocabulary seen by the trees comes from other folds than the passage's own.
 
     ``groups``: the source of each passage; a source then lies in one fold as a whole and the agreement is
-    kept by source too. Fewer than two sources are an error, as nothing could be held out."""
+    kept by source too. Fewer than two sources are an error, as nothing could be held out. ``strict``: for
+    reports, the trees that predict a fold are fitted without its vocabulary as well, at twice the work."""
     passages = [sentences_of(t) for t, _ in samples]
     levels = np.array([y for _, y in samples], dtype=float)
     usable = [i for i, p in enumerate(passages) if p]
@@ -281,7 +293,10 @@ def fit(samples: list[tuple[str, int]], settings: Settings = Settings(), groups:
     parts = fold[usable]
     outside = np.zeros(len(y))
     for f in range(folds):
-        outside[parts == f] = Boosted("squared", trees=80, depth=3, rate=0.1).fit(matrix[parts != f], y[parts != f]).score(matrix[parts == f])
+        train = matrix[parts != f]
+        if strict:  # no passage of the fold may have a say in the vocabulary the trees are fitted on
+            train = _halved([passages[i] for i, p in zip(usable, parts) if p != f], [samples[i][0] for i, p in zip(usable, parts) if p != f], y[parts != f])
+        outside[parts == f] = Boosted("squared", trees=80, depth=3, rate=0.1).fit(train, y[parts != f]).score(matrix[parts == f])
     cuts = _cut_points(outside, y, kinds)
     hits = np.array(kinds)[np.searchsorted(cuts, outside)] == y
     right = np.mean(hits)
@@ -290,12 +305,12 @@ def fit(samples: list[tuple[str, int]], settings: Settings = Settings(), groups:
     return Model(kinds, Boosted("squared", trees=80, depth=3, rate=0.1).fit(matrix, y), cuts, table, float(right), settings, by_group)
 
 
-def fitted(samples: DataFrame, text: str, level: str, settings: Settings = Settings(), group: str | None = None) -> Model:
+def fitted(samples: DataFrame, text: str, level: str, settings: Settings = Settings(), group: str | None = None, strict: bool = False) -> Model:
     """Fit on at most ``settings.sample`` distinct graded rows, the first by a hash of the text; ``group``
     names the column of sources, by which the predictions are then validated."""
     rows = samples.where(F.col(text).isNotNull() & F.col(level).isNotNull()).select(text, level, *([F.col(group).cast("string")] if group else []))
     sample = sample_rows(rows, text, settings.sample)
-    return fit([(r[0], int(r[1])) for r in sample], settings, [r[2] for r in sample] if group else None)
+    return fit([(r[0], int(r[1])) for r in sample], settings, [r[2] for r in sample] if group else None, strict)
 
 
 def grade(docs: DataFrame, text: str, model: Model, into: str = "reading_level") -> DataFrame:
